@@ -1,0 +1,5 @@
+from pyspark.sql import DataFrame, functions as F
+CHURN_COLUMNS = ["recency_days", "frequency", "monetary", "avg_basket_size", "basket_variance", "active_months"]
+def forecast_calendar(history: DataFrame, days: int = 30) -> DataFrame:
+    last = history.groupBy("region_id").agg(F.max("ds").alias("last"))
+    return last.select("region_id", F.explode(F.sequence(F.date_add("last", 1), F.date_add("last", days))).alias("forecast_date"))

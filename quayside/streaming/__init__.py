@@ -1,0 +1 @@
+"""Empty on purpose: the workload is scheduled batch, so there is no stream to process."""
