@@ -4,15 +4,17 @@ from __future__ import annotations
 
 from collections.abc import Callable
 
+from pyspark.ml import PipelineModel
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.ml import queries as ml_queries
+from quayside.ml import forecast, score, train
 from quayside.operators import constraints, metrics, splits, weights
 from quayside.operators.keys import with_file_order_key
 from quayside.plans import analysis, common, features, marts, quality, staging
 from quayside.schema import Tables
+from quayside.session import materialize
 from quayside.sources.star import load_star
 
 # Parameters that fit the star-schema tables, whose last order is of this date.
@@ -188,7 +190,7 @@ def scale_pos_weight(t: Tables) -> DataFrame:
 
 
 def standardized_features(t: Tables) -> DataFrame:
-    names = ml_queries.CHURN_COLUMNS
+    names = train.CHURN_COLUMNS
     return rounded(weights.standardize(churn(t).select("customer_id", *names), names), 6, *names)
 
 
@@ -225,7 +227,59 @@ def forecast_gate(t: Tables) -> DataFrame:
 
 
 def forecast_calendar(t: Tables) -> DataFrame:
-    return ml_queries.forecast_calendar(features.demand_features(t))
+    return forecast.calendar(features.demand_features(t))
+
+
+# -- models ----------------------------------------------------------------------------------
+
+
+def churn_parts(t: Tables) -> dict[str, DataFrame]:
+    rows = train.usable(churn(t), train.CHURN_COLUMNS, train.CHURN_TARGET)
+    whole = materialize(splits.stratified(rows, "customer_id", train.CHURN_TARGET))
+    return {"all": whole, **{name: whole.filter(F.col("split") == name) for name in ("train", "val", "test")}}
+
+
+def churn_forest(parts: dict[str, DataFrame]) -> PipelineModel:
+    return train.fit_random_forest(parts["train"], train.CHURN_COLUMNS, train.CHURN_TARGET)
+
+
+def predictions_churn(t: Tables) -> DataFrame:
+    parts = churn_parts(t)
+    return score.churn(parts["all"], churn_forest(parts), AS_OF)
+
+
+def churn_feature_importance(t: Tables) -> DataFrame:
+    parts = churn_parts(t)
+    return train.importances(parts["all"].sparkSession, churn_forest(parts), train.CHURN_COLUMNS)
+
+
+def churn_logistic_metrics(t: Tables) -> DataFrame:
+    parts = churn_parts(t)
+    model = train.fit_logistic(parts["train"], train.CHURN_COLUMNS, train.CHURN_TARGET)
+    measured = [(name, train.evaluate(model, parts[name], train.CHURN_TARGET)) for name in ("val", "test")]
+    rows = [(name, *(m[k] for k in ("auc", "f1", "precision", "recall"))) for name, m in measured]
+    schema = "split string, auc double, f1 double, precision double, recall double"
+    return parts["all"].sparkSession.createDataFrame(rows, schema)
+
+
+def predictions_stockout(t: Tables) -> DataFrame:
+    rows = train.usable(features.stockout_features(t), train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET)
+    whole = materialize(splits.temporal(rows, "week"))
+    older, newer = (whole.filter(F.col("split") == name) for name in ("train", "val"))
+    model = train.fit_boosted(older, newer, train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET)
+    return score.stockout(whole, model, AS_OF)
+
+
+def forecast_validation(t: Tables) -> DataFrame:
+    days = materialize(features.demand_features(t))
+    days = days.withColumn("split", splits.by_date("ds", TRAIN_UNTIL, VALIDATION_UNTIL))
+    models = forecast.fit(days.filter(F.col("split") == "train"))
+    return forecast.evaluate(models, days.filter(F.col("split") == "val"))
+
+
+def predictions_demand(t: Tables) -> DataFrame:
+    days = materialize(features.demand_features(t))
+    return score.demand(days, forecast.fit(days), AS_OF)
 
 
 # -- constraints and quality -----------------------------------------------------------------
@@ -288,6 +342,12 @@ OVER_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "forecast_gate": forecast_gate,
     "forecast_calendar": forecast_calendar,
     "top1_latest_order": top1_latest_order,
+    "predictions_churn": predictions_churn,
+    "predictions_stockout": predictions_stockout,
+    "predictions_demand": predictions_demand,
+    "churn_feature_importance": churn_feature_importance,
+    "churn_logistic_metrics": churn_logistic_metrics,
+    "forecast_validation": forecast_validation,
 }
 
 QUERIES: dict[str, Query] = {
