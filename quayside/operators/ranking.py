@@ -9,9 +9,8 @@ that ties, however many, spread over the range partitions.
 from __future__ import annotations
 
 from collections.abc import Mapping, Sequence
-from functools import reduce
 
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, Row, Window
 from pyspark.sql import functions as F
 
 from quayside.session import materialize
@@ -34,20 +33,23 @@ def _before() -> Window:
     return Window.orderBy(_PART).rowsBetween(Window.unboundedPreceding, -1)
 
 
-def with_row_index(df: DataFrame, order: Sequence[Column | str], name: str = "row_index") -> DataFrame:
-    """Adds the 0-based position of each row in ``order``."""
+def with_row_index(
+    df: DataFrame, order: Sequence[Column | str], name: str = "row_index", total: str | None = None
+) -> DataFrame:
+    """Adds the 0-based position of each row in ``order`` and, if named, the number of all rows."""
     placed = _placed(df, order)
-    starts = (
-        placed.groupBy(_part())
-        .agg(F.count(F.lit(1)).alias("rows"))
-        .select(_PART, F.coalesce(F.sum("rows").over(_before()), F.lit(0)).alias(_START))
+    counted = placed.groupBy(_part()).agg(F.count(F.lit(1)).alias("rows"))
+    starts = counted.select(
+        _PART,
+        F.coalesce(F.sum("rows").over(_before()), F.lit(0)).alias(_START),
+        F.sum("rows").over(Window.partitionBy()).alias(total or "__total"),
     )
     local = F.col(_SLOT) - F.shiftleft(F.col(_PART), _ROW_BITS)
     return (
         placed.withColumn(_PART, _part())
         .join(F.broadcast(starts), _PART)  # one row per sort partition
         .withColumn(name, F.col(_START) + local)
-        .select(*df.columns, name)
+        .select(*df.columns, name, *([total] if total else []))
     )
 
 
@@ -92,22 +94,25 @@ def tile_starts(rows: int, tiles: int) -> list[int]:
 def with_ntiles(df: DataFrame, keys: Mapping[str, Column], tiles: int = 5) -> DataFrame:
     """NTILE over the whole table, for several orderings at once.
 
-    ``keys`` maps an output column to its ``sort_key``. Each ordering sorts only its narrow key and
-    looks up the ``tiles - 1`` keys at which a tile begins; the rows are then tiled by comparing
-    with those, in one projection.
+    ``keys`` maps an output column to its ``sort_key``. All orderings go through one sort, of the
+    narrow keys only, which finds the ``tiles - 1`` keys per ordering at which a tile begins; the
+    rows are then tiled by comparing with those, in one projection.
     """
     base = materialize(df)
     rows = base.count()
-    scored = base
-    for name, key in keys.items():
-        narrow = base.select(key.alias("key"))
-        at = F.col("row_index").isin(tile_starts(rows, tiles))
-        # at most tiles - 1 rows reach the driver
-        cuts = with_row_index(narrow, ["key"]).filter(at).select("key").collect()
-        kind = narrow.schema["key"].dataType
-        passed = [
-            (key >= F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut.key, kind.fields)))).cast("int")
-            for cut in cuts
-        ]
-        scored = scored.withColumn(name, reduce(lambda a, b: a + b, passed, F.lit(1)))
-    return scored
+    starts = tile_starts(rows, tiles)
+    orderings = F.array(*(F.struct(F.lit(i).alias("ordering"), key.alias("key")) for i, key in enumerate(keys.values())))
+    narrow = base.select(F.inline(orderings))
+    wanted = [i * rows + start for i in range(len(keys)) for start in starts]
+    # at most tiles - 1 rows per ordering reach the driver
+    cuts = with_row_index(narrow, ["ordering", "key"]).filter(F.col("row_index").isin(wanted)).collect()
+    kind = narrow.schema["key"].dataType
+
+    def literal(cut: Row) -> Column:
+        return F.struct(*(F.lit(v).cast(f.dataType).alias(f.name) for v, f in zip(cut.key, kind.fields)))
+
+    def tile(i: int, key: Column) -> Column:
+        passed = ((key.cast(kind) >= literal(cut)).cast("int") for cut in cuts if cut.ordering == i)
+        return sum(passed, F.lit(1))
+
+    return base.withColumns({name: tile(i, key) for i, (name, key) in enumerate(keys.items())})

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.amounts import mean, money, sample_stddev
 from quayside.functions.dates import as_date
+from quayside.operators.joins import fact_join
 from quayside.operators.ranking import sort_key, with_ntiles
 from quayside.plans.common import order_totals
 from quayside.plans.staging import stg_orders
@@ -85,10 +86,9 @@ def production_demand_gap(tables: Tables, ordered: bool = True) -> DataFrame:
         .groupBy(F.col("prod_date").alias("ref_date"), "product_id")
         .agg(F.sum("qty_produced").alias("total_produced"))
     )
+    items = tables["order_items"].select("order_id", "product_id", "quantity")
     demanded = (
-        tables["order_items"]
-        .select("order_id", "product_id", "quantity")
-        .join(stg_orders(tables).select("order_id", "order_date"), "order_id")
+        fact_join(items, stg_orders(tables).select("order_id", "order_date"), "order_id")
         .groupBy(F.col("order_date").alias("ref_date"), "product_id")
         .agg(F.sum("quantity").alias("total_demanded"))
     )

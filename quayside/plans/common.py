@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.amounts import cents, line_cents, square
 from quayside.functions.dates import month_start
+from quayside.operators.joins import fact_join, lookup
 from quayside.schema import Tables
 
 
@@ -30,7 +31,7 @@ def order_totals(tables: Tables, orders: DataFrame, *totals: str) -> DataFrame:
     """
     sums = _item_totals()
     per_order = tables["order_items"].groupBy("order_id").agg(*(sums[t].alias(t) for t in totals))
-    return orders.join(per_order, "order_id")
+    return fact_join(orders, per_order, "order_id")
 
 
 def customer_months(tables: Tables, orders: DataFrame, *totals: str) -> DataFrame:
@@ -51,10 +52,8 @@ def customer_months(tables: Tables, orders: DataFrame, *totals: str) -> DataFram
 
 
 def customer_places(tables: Tables) -> DataFrame:
-    """Branch and region of each customer that has both."""
+    """Branch and region of each customer that has both, to look up."""
     branches = tables["branches"].select("branch_id", "branch_name", "region_id")
     regions = tables["regions"].select("region_id", "region_name")
-    # no broadcast hints: the optimizer broadcasts a dimension when its size allows
-    return (
-        tables["customers"].select("customer_id", "branch_id").join(branches, "branch_id").join(regions, "region_id")
-    )
+    customers = tables["customers"].select("customer_id", "branch_id")
+    return lookup(customers.join(branches, "branch_id").join(regions, "region_id"), sized_by=customers)

@@ -9,6 +9,7 @@ from pyspark.sql import functions as F
 
 from quayside.functions.amounts import clip_at_zero, mean, money, sample_stddev
 from quayside.functions.dates import as_date, day_of_week, week_start
+from quayside.operators.joins import fact_join, lookup
 from quayside.operators.timeseries import lag, series, trailing_mean, trailing_slope_of_4
 from quayside.plans.common import customer_months, customer_places, order_totals
 from quayside.schema import Tables
@@ -76,22 +77,21 @@ def weekly_production(tables: Tables) -> DataFrame:
     """
     per_region = (
         tables["daily_production"]
-        .join(tables["suppliers"].select("supplier_id", "region_id"), "supplier_id")
+        .join(lookup(tables["suppliers"].select("supplier_id", "region_id")), "supplier_id")
         .groupBy("product_id", "region_id", week_start(F.col("prod_date")).alias("week"))
         .agg(F.sum("qty_produced").alias("produced"))
     )
-    branches = tables["branches"].select("branch_id", "region_id")
+    branches = lookup(tables["branches"].select("branch_id", "region_id"))
     return per_region.join(branches, "region_id").select("product_id", "branch_id", "week", "produced")
 
 
 def weekly_demand(tables: Tables) -> DataFrame:
     """Units ordered per product, branch and week."""
     orders = tables["orders"].select("order_id", "customer_id", week_start(F.col("order_date")).alias("week"))
-    placed = orders.join(tables["customers"].select("customer_id", "branch_id"), "customer_id")
+    placed = orders.join(lookup(tables["customers"].select("customer_id", "branch_id")), "customer_id")
+    items = tables["order_items"].select("order_id", "product_id", "quantity")
     return (
-        tables["order_items"]
-        .select("order_id", "product_id", "quantity")
-        .join(placed, "order_id")
+        fact_join(items, placed, "order_id")
         .groupBy("product_id", "branch_id", "week")
         .agg(F.sum("quantity").alias("demanded"))
     )

@@ -7,6 +7,7 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.operators.joins import fact_join
 from quayside.schema import TABLES, Tables
 
 
@@ -42,7 +43,7 @@ def write_bucketed(tables: Tables, database: str, buckets: int) -> None:
 def items_with_month(tables: Tables) -> DataFrame:
     """Items with the date and month of their order, which they do not carry themselves."""
     orders = tables["orders"].select("order_id", "order_date")
-    return tables["order_items"].join(orders, "order_id").withColumn("order_ym", F.date_format("order_date", "yyyy-MM"))
+    return fact_join(tables["order_items"], orders, "order_id").withColumn("order_ym", F.date_format("order_date", "yyyy-MM"))
 
 
 def write_items_by_month(tables: Tables, table: str) -> None:

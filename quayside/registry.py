@@ -11,11 +11,12 @@ from pyspark.sql import types as T
 
 from quayside.ml import forecast, score, train
 from quayside.operators import constraints, metrics, splits, weights
+from quayside.operators.joins import fact_join
 from quayside.operators.keys import with_file_order_key
 from quayside.plans import analysis, common, features, marts, quality, staging
 from quayside.schema import Tables
 from quayside.session import materialize
-from quayside.sources.star import load_star
+from quayside.sources.star import load_star, read_star
 
 # Parameters that fit the star-schema tables, whose last order is of this date.
 AS_OF = "2001-08-01"
@@ -76,7 +77,7 @@ def churn_features(t: Tables) -> DataFrame:
 def join_orders_items(t: Tables) -> DataFrame:
     orders = t["orders"].select("order_id", "customer_id", "order_date")
     items = t["order_items"].select("order_id", "product_id", "quantity", "unit_price")
-    return orders.join(items, "order_id")
+    return fact_join(orders, items, "order_id")
 
 
 def join_snowflake_chain(t: Tables) -> DataFrame:
@@ -136,12 +137,12 @@ def top1_latest_order(t: Tables) -> DataFrame:
 
 
 def duplicate_line_keys(spark: SparkSession, folder: str) -> DataFrame:
-    lines = spark.read.parquet(f"{folder}/lineitem.parquet")
+    lines = read_star(spark, folder, "lineitem")
     return portable(constraints.duplicate_keys(lines, ["l_orderkey", "l_linenumber"]))
 
 
 def ingest_surrogate_keys(spark: SparkSession, folder: str) -> DataFrame:
-    orders = spark.read.parquet(f"{folder}/orders.parquet").select("o_orderkey", "o_custkey")
+    orders = read_star(spark, folder, "orders").select("o_orderkey", "o_custkey")
     return portable(with_file_order_key(orders, "order_id"))
 
 
