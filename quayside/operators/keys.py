@@ -5,30 +5,30 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.operators.joins import lookup
+from quayside.session import materialize
+
 _FILE, _BLOCK, _ID = "__file", "__block", "__id"
 
 
-def with_file_order_key(scan: DataFrame, name: str) -> DataFrame:
-    """Adds 1..n in file order to a DataFrame that reads files directly.
+def with_file_order_key(scan: DataFrame, name: str, first: int = 1) -> DataFrame:
+    """Adds consecutive keys from ``first`` on, in file order, to a DataFrame that reads files directly.
 
-    A split is read by one task from front to back, so the row ids of a split are consecutive:
-    only the count and smallest id of each split are needed, and no row is shuffled or sorted.
-    Both passes plan the same splits, as these depend on the files and the settings alone.
+    A split is read by one task from front to back, so the row ids of a split are consecutive: its
+    count and smallest id turn them into keys, without sorting or shuffling rows. The rows are stored
+    with their split and id first, as a second scan might be split otherwise.
     """
-    located = scan.select(
-        "*",
-        F.col("_metadata.file_path").alias(_FILE),
-        F.col("_metadata.file_block_start").alias(_BLOCK),
-        F.monotonically_increasing_id().alias(_ID),
+    located = materialize(
+        scan.select(
+            "*",
+            F.col("_metadata.file_path").alias(_FILE),
+            F.col("_metadata.file_block_start").alias(_BLOCK),
+            F.monotonically_increasing_id().alias(_ID),
+        )
     )
+    # one row per split, stored as well, since it is counted and then joined
+    splits = materialize(located.groupBy(_FILE, _BLOCK).agg(F.count(F.lit(1)).alias("rows"), F.min(_ID).alias("low")))
     before = Window.orderBy(_FILE, _BLOCK).rowsBetween(Window.unboundedPreceding, -1)
-    # one row per split
-    offsets = (
-        located.groupBy(_FILE, _BLOCK)
-        .agg(F.count(F.lit(1)).alias("rows"), F.min(_ID).alias("first"))
-        .select(_FILE, _BLOCK, (F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("first") + 1).alias("shift"))
-    )
-    return (
-        located.join(offsets, [_FILE, _BLOCK])
-        .select((F.col(_ID) + F.col("shift")).alias(name), *scan.columns)
-    )
+    shift = F.coalesce(F.sum("rows").over(before), F.lit(0)) - F.col("low") + first
+    offsets = lookup(splits.select(_FILE, _BLOCK, shift.alias("shift")), sized_by=splits)
+    return located.join(offsets, [_FILE, _BLOCK]).select((F.col(_ID) + F.col("shift")).alias(name), *scan.columns)

@@ -99,4 +99,6 @@ def production_demand_gap(tables: Tables, ordered: bool = True) -> DataFrame:
         .withColumn("gap", F.col("total_produced") - F.col("total_demanded"))
         .withColumn("is_shortfall", F.col("gap") < 0)
     )
-    return gap.orderBy(F.desc_nulls_first("ref_date"), F.asc_nulls_last("gap")) if ordered else gap
+    # the product only spreads ties over the sort partitions
+    order = (F.desc_nulls_first("ref_date"), F.asc_nulls_last("gap"), "product_id")
+    return gap.orderBy(*order) if ordered else gap

@@ -151,3 +151,26 @@ def score_all(
         score.refresh(scores, f"{database}.predictions_{name}")
         written.append(f"{database}.predictions_{name}")
     return written
+
+
+def run_all(
+    spark: SparkSession,
+    data_dir: str,
+    folder: str,
+    database: str = "raw",
+    minimums: Mapping[str, int] = quality.MINIMUM_ROWS,
+    as_of: str | date | None = None,
+    demand_cutoffs: tuple[str, str] = (TRAIN_UNTIL, VALIDATION_UNTIL),
+    forest: Mapping[str, object] | None = None,
+    boosted: Mapping[str, object] | None = None,
+) -> dict[str, str]:
+    """Everything from CSV files to trained models: ingestion, analysis, features, training."""
+    ingest(spark, data_dir, database, minimums, f"{database}_marts")
+    tables = layout.read_tables(spark, database)
+    models.build(spark, tables, "analysis", f"{database}_analysis")
+    paths = build_features(tables, f"{folder}/features", as_of=as_of)
+    read = {name: spark.read.parquet(path) for name, path in paths.items()}
+    train_demand(spark, read["demand"], f"{folder}/store", None, *demand_cutoffs)
+    train_churn(spark, read["churn"], f"{folder}/store", **(forest or {}))
+    train_stockout(spark, read["stockout"], f"{folder}/store", **(boosted or {}))
+    return paths

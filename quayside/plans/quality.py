@@ -2,10 +2,10 @@
 
 from __future__ import annotations
 
-from collections.abc import Callable, Mapping
+from collections.abc import Callable, Mapping, Sequence
 from dataclasses import dataclass
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.operators.constraints import duplicate_keys, orphans, union
@@ -27,22 +27,20 @@ COUNTED = ("orders", "order_items", "customers", "daily_production")
 
 @dataclass(frozen=True)
 class Check:
-    """``measure`` gives one row (result); the check passes from ``minimum`` rows or, without one, at 0."""
+    """One number that must be at least ``minimum`` or, without one, zero.
+
+    It is an aggregate over one table, or ``measure`` gives it as one row (result).
+    """
 
     name: str
-    measure: Callable[[Tables], DataFrame]
     message: str
+    table: str | None = None
+    aggregate: Callable[[], Column] | None = None
+    measure: Callable[[Tables], DataFrame] | None = None
     minimum: int | None = None
 
-    def run(self, tables: Tables) -> DataFrame:
-        """One row: name, result, status, msg."""
-        passed = F.col("result") == 0 if self.minimum is None else F.col("result") >= self.minimum
-        return self.measure(tables).select(
-            F.lit(self.name).alias("name"),
-            "result",
-            F.when(passed, "PASS").otherwise("FAIL").alias("status"),
-            F.lit(self.message).alias("msg"),
-        )
+    def passed(self) -> Column:
+        return F.col("result") == 0 if self.minimum is None else F.col("result") >= self.minimum
 
 
 def row_counts(tables: Tables) -> DataFrame:
@@ -54,12 +52,8 @@ def row_counts(tables: Tables) -> DataFrame:
     )
 
 
-def count_rows(table: str) -> Callable[[Tables], DataFrame]:
-    return lambda tables: tables[table].agg(F.count(F.lit(1)).alias("result"))
-
-
-def count_where(table: str, condition: str) -> Callable[[Tables], DataFrame]:
-    return lambda tables: tables[table].agg(F.count_if(F.expr(condition)).alias("result"))
+def count_where(condition: str) -> Callable[[], Column]:
+    return lambda: F.count_if(F.expr(condition))
 
 
 def count_orphans(table: str, column: str) -> Callable[[Tables], DataFrame]:
@@ -77,23 +71,51 @@ def count_duplicate_keys(table: str) -> Callable[[Tables], DataFrame]:
 
 def checks(minimums: Mapping[str, int] = MINIMUM_ROWS) -> list[Check]:
     """The ten checks, in the order in which they run."""
-    return [
-        *(
-            Check(f"row_count_{t}", count_rows(t), f"at least {minimums[t]} rows expected", minimums[t])
-            for t in COUNTED
+    rows = [
+        Check(f"row_count_{t}", f"at least {minimums[t]} rows expected", t, count_where("true"), minimum=minimums[t])
+        for t in COUNTED
+    ]
+    return rows + [
+        Check("orphan_items", "order items without an order", measure=count_orphans("order_items", "order_id")),
+        Check("orphan_orders", "orders without a customer", measure=count_orphans("orders", "customer_id")),
+        Check(
+            "orphan_production", "production without a supplier", measure=count_orphans("daily_production", "supplier_id")
+        ),
+        Check("null_order_date", "order_date is missing", "orders", count_where("order_date is null")),
+        Check(
+            "bad_quantity", "quantity is not positive", "order_items", count_where("quantity is null or quantity <= 0")
         ),
-        Check("orphan_items", count_orphans("order_items", "order_id"), "order items without an order"),
-        Check("orphan_orders", count_orphans("orders", "customer_id"), "orders without a customer"),
-        Check("orphan_production", count_orphans("daily_production", "supplier_id"), "production without a supplier"),
-        Check("null_order_date", count_where("orders", "order_date is null"), "order_date is missing"),
-        Check("bad_quantity", count_where("order_items", "quantity is null or quantity <= 0"), "quantity is not positive"),
-        Check("duplicate_orders", count_duplicate_keys("orders"), "order_id occurs more than once"),
+        Check("duplicate_orders", "order_id occurs more than once", measure=count_duplicate_keys("orders")),
     ]
 
 
+def evaluate(tables: Tables, chosen: Sequence[Check]) -> DataFrame:
+    """The chosen checks as one lazy plan: name, result, status, msg.
+
+    Aggregates over the same table share one pass over it.
+    """
+    by_table: dict[str, list[Check]] = {}
+    for check in chosen:
+        if check.table:
+            by_table.setdefault(check.table, []).append(check)
+    parts = [
+        tables[table].agg(*(c.aggregate().alias(c.name) for c in group)).unpivot([], [c.name for c in group], "name", "result")
+        for table, group in by_table.items()
+    ] + [c.measure(tables).select(F.lit(c.name).alias("name"), "result") for c in chosen if c.measure]
+
+    def per_check(value: Callable[[Check], Column]) -> Column:
+        return F.coalesce(*(F.when(F.col("name") == c.name, value(c)) for c in chosen))
+
+    return union(parts).select(
+        "name",
+        "result",
+        F.when(per_check(Check.passed), "PASS").otherwise("FAIL").alias("status"),
+        per_check(lambda c: F.lit(c.message)).alias("msg"),
+    )
+
+
 def report(tables: Tables, minimums: Mapping[str, int] = MINIMUM_ROWS) -> DataFrame:
-    """All checks as one lazy plan: name, result, status, msg."""
-    return union([check.run(tables) for check in checks(minimums)])
+    return evaluate(tables, checks(minimums))
 
 
 def run_checks(
@@ -106,7 +128,7 @@ def run_checks(
     results = []
     for check in checks(minimums):
         try:
-            results.append(tuple(check.run(tables).first()))
+            results.append(tuple(evaluate(tables, [check]).first()))
         except Exception as error:  # whatever went wrong, the check did not pass
             results.append((check.name, None, "ERROR", str(error)))
         if fail_fast and results[-1][2] != "PASS":

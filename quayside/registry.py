@@ -288,7 +288,7 @@ def predictions_demand(t: Tables) -> DataFrame:
 
 def checks_named(*names: str) -> Callable[[Tables], DataFrame]:
     chosen = [c for c in quality.checks(MINIMUM_ROWS) if c.name in names]
-    return lambda t: constraints.union([check.run(t) for check in chosen])
+    return lambda t: quality.evaluate(t, chosen)
 
 
 OVER_TABLES: dict[str, Callable[[Tables], DataFrame]] = {

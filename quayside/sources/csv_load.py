@@ -18,7 +18,6 @@ from pyspark.sql import functions as F
 from quayside.operators import constraints
 from quayside.operators.keys import with_file_order_key
 from quayside.schema import TABLES, Table
-from quayside.session import materialize
 
 log = logging.getLogger(__name__)
 
@@ -59,8 +58,7 @@ def read_csv(spark: SparkSession, table: str, path: str, loaded_at: Column | Non
 
     rows = raw.drop(REDUNDANT_COLUMN).select(*(typed(n, k) for n, k in spec.columns.items()))
     stamp = (F.current_timestamp() if loaded_at is None else loaded_at).cast("timestamp_ntz")
-    keyed = with_file_order_key(rows, spec.key)
-    return keyed.withColumn(spec.key, F.col(spec.key) + (first_key - 1)).withColumn("created_at", stamp)
+    return with_file_order_key(rows, spec.key, first_key).withColumn("created_at", stamp)
 
 
 def broken_constraints(spark: SparkSession, rows: DataFrame, spec: Table, database: str) -> list[tuple[str, int]]:
@@ -79,8 +77,8 @@ def load_table(
 ) -> Loaded | None:
     """Loads ``<data_dir>/<table>.csv`` (a file or a folder); None if there is none.
 
-    The file is parsed once into the shared folder; only rows that keep all constraints reach the
-    table. ``append`` adds to the table and goes on counting its keys.
+    The file is parsed once, into the shared folder; it reaches the table only if all its rows keep
+    the constraints. ``append`` adds to the table and goes on counting its keys.
     """
     if table not in TABLES:
         raise ValueError(f"unknown table {table!r}; known: {', '.join(TABLES)}")
@@ -93,12 +91,11 @@ def load_table(
             raise
         log.warning("no file for table %s in %s, skipped", table, data_dir)
         return None
-    staged = materialize(parsed)
-    broken = broken_constraints(spark, staged, spec, database)
+    broken = broken_constraints(spark, parsed, spec, database)
     if broken:
         raise ConstraintError(f"{table}: " + ", ".join(f"{rule} ({rows} rows)" for rule, rows in broken))
-    staged.select(*spec.schema.names).write.insertInto(target, overwrite=mode == "overwrite")
-    loaded = Loaded(table, staged.count(), time.monotonic() - start)
+    parsed.select(*spec.schema.names).write.insertInto(target, overwrite=mode == "overwrite")
+    loaded = Loaded(table, parsed.count(), time.monotonic() - start)
     log.info("%s: %d rows loaded in %.1f s", table, loaded.rows, loaded.seconds)
     return loaded
 

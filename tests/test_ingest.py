@@ -3,6 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
+from quayside.ml import runs
 from quayside.operators.keys import with_file_order_key
 from quayside.plans import jobs, layout, models, quality
 from quayside.sources.csv_load import ConstraintError, load_table, load_tables, read_csv
@@ -41,15 +42,18 @@ def test_wrong_columns_and_values_fail(spark, tmp_path):
         read_csv(spark, "regions", write(tmp_path, "regions", "region_name\nnorth\n"))
     bad = write(tmp_path, "branches", "a,b,c\nx,not a number,y\n")
     with pytest.raises(Exception, match="CAST_INVALID_INPUT"):
-        read_csv(spark, "branches", bad).collect()
+        read_csv(spark, "branches", bad)
     short = write(tmp_path, "products", "a,b,c\nx,y\n")
     with pytest.raises(Exception, match="MALFORMED"):
-        read_csv(spark, "products", short).collect()
+        read_csv(spark, "products", short)
 
 
 def test_decimals_round_half_up(spark, tmp_path):
     row = read_csv(spark, "products", write(tmp_path, "products", "a,b,c\nx,y,12.345\n")).first()
     assert row.unit_cost == Decimal("12.35")
+    too_large = write(tmp_path, "products", "a,b,c\nx,y,123456789.00\n")
+    with pytest.raises(Exception, match="NUMERIC_VALUE_OUT_OF_RANGE"):
+        read_csv(spark, "products", too_large)
 
 
 def test_keys_follow_the_files_over_many_splits(spark, tmp_path):
@@ -131,6 +135,23 @@ def test_ingestion_job(spark, csv_dir):
     assert "rows" in described.data_type
 
 
+def test_everything_from_files_to_models(spark, csv_dir, tmp_path):
+    paths = jobs.run_all(
+        spark,
+        csv_dir,
+        str(tmp_path),
+        "full_raw",
+        SMALL,
+        "2001-08-01",
+        ("2000-06-30", "2001-03-31"),
+        {"numTrees": 3, "maxDepth": 3},
+        {"maxIter": 2, "maxDepth": 3},
+    )
+    assert set(paths) == {"demand", "churn", "stockout"}
+    assert spark.table("full_raw_analysis.analysis_customer_rfm").count() > 0
+    assert {r.experiment for r in runs.runs(spark, f"{tmp_path}/store").collect()} == {jobs.CHURN, jobs.STOCKOUT, jobs.DEMAND}
+
+
 def test_gate_stops_the_job(spark, csv_dir):
     with pytest.raises(quality.QualityError):
         jobs.ingest(spark, csv_dir, "gated_raw", marts_database="gated_marts")
