@@ -192,7 +192,8 @@ def scale_pos_weight(t: Tables) -> DataFrame:
 
 def standardized_features(t: Tables) -> DataFrame:
     names = train.CHURN_COLUMNS
-    return rounded(weights.standardize(churn(t).select("customer_id", *names), names), 6, *names)
+    customers = materialize(churn(t).select("customer_id", *names))
+    return rounded(weights.standardize(customers, names), 6, *names)
 
 
 def activity_score(t: Tables) -> DataFrame:

@@ -19,7 +19,7 @@ def spark():
         "tests",
         "local[8]",
         **{
-            "spark.sql.shuffle.partitions": "4",
+            "spark.sql.shuffle.partitions": "3",
             "spark.ui.enabled": "false",
             "spark.sql.warehouse.dir": f"{scratch}/warehouse",
             "spark.checkpoint.dir": f"{scratch}/shared",

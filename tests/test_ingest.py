@@ -3,7 +3,7 @@ from decimal import Decimal
 import pytest
 from pyspark.sql import functions as F
 
-from quayside.ml import runs
+from quayside.ml import runs, train
 from quayside.operators.keys import with_file_order_key
 from quayside.plans import jobs, layout, models, quality
 from quayside.sources.csv_load import ConstraintError, load_table, load_tables, read_csv
@@ -118,43 +118,62 @@ def csv_dir(spark, tmp_path_factory):
 SMALL = quality.MINIMUM_ROWS | dict.fromkeys(quality.COUNTED, 100)
 
 
-def test_ingestion_job(spark, csv_dir):
-    loaded = jobs.ingest(spark, csv_dir, "job_raw", SMALL, "job_marts")
-    tables = load_star(spark, "/root/testdata/sf0.001")
-    assert {x.table: x.rows for x in loaded} == {name: df.count() for name, df in tables.items()}
-    assert spark.table("stg_orders").count() == tables["orders"].count()
-
-    columns = ["region_name", "branch_name", "month", "total_orders", "total_revenue", "unique_customers"]
-    stored = spark.table("job_marts.mart_monthly_sales").select(*columns)
-    direct = models.LAYERS["marts"]["mart_monthly_sales"].plan(tables).select(*columns)
-    assert stored.exceptAll(direct).isEmpty() and direct.exceptAll(stored).isEmpty()
-
-    raw = layout.read_tables(spark, "job_raw")
-    assert len(models.build(spark, raw, "analysis", "job_analysis")) == 2
-    described = spark.sql("DESCRIBE EXTENDED job_raw.orders").filter("col_name = 'Statistics'").first()
-    assert "rows" in described.data_type
-
-
 def test_everything_from_files_to_models(spark, csv_dir, tmp_path):
     paths = jobs.run_all(
         spark,
         csv_dir,
         str(tmp_path),
-        "full_raw",
+        "full",
         SMALL,
         "2001-08-01",
         ("2000-06-30", "2001-03-31"),
         {"numTrees": 3, "maxDepth": 3},
         {"maxIter": 2, "maxDepth": 3},
     )
-    assert set(paths) == {"demand", "churn", "stockout"}
-    assert spark.table("full_raw_analysis.analysis_customer_rfm").count() > 0
-    assert {r.experiment for r in runs.runs(spark, f"{tmp_path}/store").collect()} == {jobs.CHURN, jobs.STOCKOUT, jobs.DEMAND}
+    star, raw = load_star(spark, "/root/testdata/sf0.001"), layout.read_tables(spark, "full")
+    assert {n: df.count() for n, df in raw.items()} == {n: df.count() for n, df in star.items()}
+    assert spark.table("stg_orders").count() == star["orders"].count()
 
+    columns = ["region_name", "branch_name", "month", "total_orders", "total_revenue", "unique_customers"]
+    stored = spark.table("full_marts.mart_monthly_sales").select(*columns)
+    direct = models.LAYERS["marts"]["mart_monthly_sales"].plan(star).select(*columns)
+    assert stored.exceptAll(direct).isEmpty() and direct.exceptAll(stored).isEmpty()
 
-def test_gate_stops_the_job(spark, csv_dir):
-    with pytest.raises(quality.QualityError):
-        jobs.ingest(spark, csv_dir, "gated_raw", marts_database="gated_marts")
+    assert spark.table("full_analysis.analysis_customer_rfm").count() > 0
+    assert spark.table("full_analysis.analysis_production_demand_gap").count() > 0
+    described = spark.sql("DESCRIBE EXTENDED full.orders").filter("col_name = 'Statistics'").first()
+    assert "rows" in described.data_type
+    logged = {r.run_name: r for r in runs.runs(spark, f"{tmp_path}/store").collect()}
+    assert set(logged) == {
+        "churn_logistic_regression", "churn_random_forest", "stockout_boosted_trees", "demand_per_region",
+    }
+    assert logged["churn_random_forest"].metrics["test_auc"] > 0.5
+    assert logged["stockout_boosted_trees"].metrics["val_auc"] > 0.5
+    assert logged["demand_per_region"].metrics["mean_mape"] >= 0
+
+    for _ in range(2):  # a second run replaces the first
+        written = jobs.score_all(spark, paths, f"{tmp_path}/store", "full_predictions", "2001-08-01")
+    churn, stockout, demand = (spark.table(f"full_predictions.predictions_{n}") for n in ("churn", "stockout", "demand"))
+    assert len(written) == 3
+    assert churn.columns == ["customer_id", "churn_probability", "label", "prediction_date"]
+    assert churn.count() == spark.read.parquet(paths["churn"]).na.drop(subset=train.CHURN_COLUMNS).count()
+    assert churn.filter("churn_probability not between 0 and 1 or label <> int(churn_probability >= 0.5)").isEmpty()
+    assert stockout.columns == ["branch_id", "product_id", "week", "stockout_probability", "risk_label", "prediction_date"]
+    assert demand.filter("not (yhat_lower <= predicted_orders and predicted_orders <= yhat_upper)").isEmpty()
+    assert {r["count"] for r in demand.groupBy("region_id").count().collect()} == {30}
+
+
+def test_gate_stops_the_job(spark, tmp_path):
+    write(tmp_path, "regions", "a,b\nnorth,DE\n")
+    with pytest.raises(quality.QualityError, match="row_count_orders"):
+        jobs.ingest(spark, str(tmp_path), "gated", marts_database="gated_marts")
+    assert not spark.catalog.databaseExists("gated_marts")
+
+
+def test_negative_revenue_fails_the_data_test(spark):
+    orders = spark.sql("select 1 as order_id, 1 as customer_id, date'2024-01-01' as order_date, 'x' as status, -1.00BD as total_amount, timestamp_ntz'2024-01-01' as created_at")
+    with pytest.raises(models.DataTestError):
+        models.run_data_tests({"orders": orders})
 
 
 def test_layout(spark):

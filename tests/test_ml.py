@@ -5,7 +5,7 @@ from pyspark.sql import functions as F
 
 from quayside.ml import forecast, runs, train
 from quayside.operators import splits
-from quayside.plans import features, jobs
+from quayside.plans import features
 from quayside.sources.star import load_star
 
 AS_OF = "2001-08-01"
@@ -16,37 +16,6 @@ def tables(spark):
     return load_star(spark, "/root/testdata/sf0.001")
 
 
-def test_train_and_score(spark, tables, tmp_path):
-    paths = jobs.build_features(tables, f"{tmp_path}/features", as_of=AS_OF)
-    assert set(paths) == {"demand", "churn", "stockout"}
-    root = f"{tmp_path}/store"
-    jobs.train_churn(spark, spark.read.parquet(paths["churn"]), root, numTrees=5, maxDepth=3)
-    jobs.train_stockout(spark, spark.read.parquet(paths["stockout"]), root, maxIter=3, maxDepth=3)
-    jobs.train_demand(spark, spark.read.parquet(paths["demand"]), root, None, "2000-06-30", "2001-03-31")
-
-    logged = {r.run_name: r for r in runs.runs(spark, root).collect()}
-    assert set(logged) == {
-        "churn_logistic_regression", "churn_random_forest", "stockout_boosted_trees", "demand_per_region",
-    }
-    assert logged["churn_random_forest"].metrics["test_auc"] > 0.5
-    assert logged["stockout_boosted_trees"].metrics["val_auc"] > 0.5
-    assert logged["demand_per_region"].metrics["mean_mape"] >= 0
-
-    for _ in range(2):  # a second run replaces the first
-        written = jobs.score_all(spark, paths, root, "ml_predictions", AS_OF)
-    assert len(written) == 3
-    churn = spark.table("ml_predictions.predictions_churn")
-    assert churn.columns == ["customer_id", "churn_probability", "label", "prediction_date"]
-    assert churn.count() == spark.read.parquet(paths["churn"]).na.drop(subset=train.CHURN_COLUMNS).count()
-    assert churn.filter("churn_probability not between 0 and 1 or label <> int(churn_probability >= 0.5)").isEmpty()
-    stockout = spark.table("ml_predictions.predictions_stockout")
-    assert stockout.columns == ["branch_id", "product_id", "week", "stockout_probability", "risk_label", "prediction_date"]
-    demand = spark.table("ml_predictions.predictions_demand")
-    assert demand.filter("not (yhat_lower <= predicted_orders and predicted_orders <= yhat_upper)").isEmpty()
-    per_region = demand.groupBy("region_id").agg(F.count("*").alias("n"), F.min("forecast_date").alias("first"))
-    assert {r.n for r in per_region.collect()} == {30}
-
-
 def test_newest_run_wins(spark, tmp_path):
     now = datetime.now(timezone.utc)
     for age, value in ((0, 1), (5, 2)):
