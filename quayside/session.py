@@ -2,7 +2,6 @@
 
 from __future__ import annotations
 
-import tempfile
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -26,28 +25,48 @@ def get_spark(app: str = "quayside", master: str | None = None, **conf: str) ->
     return builder.getOrCreate()
 
 
+def _file_system(spark: SparkSession, path: str):
+    hadoop = spark._jvm.org.apache.hadoop.fs.Path(path)
+    return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
+
+
 def shared_dir(spark: SparkSession) -> str:
-    """Folder every executor can reach: ``spark.checkpoint.dir``, or the context's own.
+    """Folder of this application that every executor can reach.
 
-    Only a local master may fall back to a temporary folder.
+    Below ``spark.checkpoint.dir``, or the context's own checkpoint folder; where neither is set,
+    below the warehouse, which is shared as well. It is deleted when the session's JVM ends.
     """
-    context = spark.sparkContext
-    configured = spark.conf.get("spark.checkpoint.dir", None) or context.getCheckpointDir()
-    if configured:
-        return configured
-    if not context.master.startswith("local"):
-        raise ValueError("set spark.checkpoint.dir to a folder that all executors share")
-    context.setCheckpointDir(tempfile.mkdtemp(prefix="run-", dir="/tmp"))
-    return context.getCheckpointDir()
+    root = (
+        spark.conf.get("spark.checkpoint.dir", None)
+        or spark.sparkContext.getCheckpointDir()
+        or f"{spark.conf.get('spark.sql.warehouse.dir').rstrip('/')}/_scratch"
+    )
+    folder = f"{root.rstrip('/')}/quayside-{spark.sparkContext.applicationId}"
+    system, path = _file_system(spark, folder)
+    if not system.exists(path):
+        system.mkdirs(path)
+        system.deleteOnExit(path)
+    return folder
+
+
+def new_path(spark: SparkSession) -> str:
+    """A path in the shared folder that nothing has used yet."""
+    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+
+
+def drop_path(spark: SparkSession, path: str) -> None:
+    """Deletes a folder made by ``new_path`` once no plan reads it any more."""
+    system, folder = _file_system(spark, path)
+    system.delete(folder, True)
 
 
 def materialize(df: DataFrame) -> DataFrame:
     """Write ``df`` once to the shared folder and read it back.
 
     Cuts the lineage so that later passes see the same rows even when executors are lost, and
-    gives the optimizer real sizes. One folder per application, to be dropped after it ended.
+    gives the optimizer real sizes.
     """
     spark = df.sparkSession
-    path = f"{shared_dir(spark)}/quayside-{spark.sparkContext.applicationId}/{uuid.uuid4().hex}"
+    path = new_path(spark)
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
