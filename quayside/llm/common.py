@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import string
+from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, Window
@@ -71,3 +72,8 @@ def with_offsets(
     return joined.withColumn(
         name, F.col("__start") + F.coalesce(F.sum("__weight").over(within), F.lit(0))
     ).select(*df.columns, name)
+
+
+def let(value: Column, body: Callable[[Column], Column]) -> Column:
+    """``body`` of a value that is computed once, however often and wherever the body names it."""
+    return F.get(F.transform(F.array(value), body), F.lit(0))

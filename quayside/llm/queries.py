@@ -5,13 +5,33 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chat, exact, kdtree, mixing
+from quayside.llm import chat, exact, kdtree, license, mixing, quality
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{folder}/{table}.parquet")
 
 
+def op1_license_scan(spark: SparkSession, folder: str) -> DataFrame:
+    rows = license.scan(read(spark, folder, "documents")).select("doc_id", "license_scan.*")
+    base = F.filter("spans", lambda d: d["base"])
+    rows = rows.select(
+        "doc_id",
+        "norm",
+        "n_words",
+        F.size(base).cast("bigint").alias("n_base"),
+        F.array_min(F.transform(base, lambda d: d["start"])).alias("first"),
+        F.array_max(F.transform(base, lambda d: d["start"])).alias("last"),
+        *(
+            F.array_join(F.array_sort(F.array_distinct(F.transform(d, lambda x: x["label"]))), ",").alias(name)
+            for d, name in ((base, "base_labels"), (F.col("spans"), "labels"))
+        ),
+        F.coalesce(F.array_max(F.transform("spans", lambda d: d["weight"])), F.lit(0.0)).alias("score"),
+    )
+    word = {c: license.words_before(F.substr("norm", F.lit(1), F.col(c))).alias(f"{c}_word") for c in ("first", "last")}
+    return rows.select("doc_id", "n_words", "n_base", *word.values(), "base_labels", "labels", "score")
+
+
 def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     rows = exact.label(read(spark, folder, "documents"))
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
@@ -56,6 +76,10 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
+    return quality.measure(read(spark, folder, "documents")).select("doc_id", "quality.*")
+
+
 def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     rows = kdtree.shard(read(spark, folder, "documents"), shards=40)
     return rows.select(
@@ -63,4 +87,4 @@ def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op2_exact_dedup, op4_source_mix, op6_chat_format, op9_kd_shards)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op4_source_mix, op6_chat_format, op8_quality_rules, op9_kd_shards)}
