@@ -54,7 +54,8 @@ class DigestIndex:
             "text_sha256", F.col("best.doc_id").alias("owner"), F.col("best.row_id").alias("owner_row"), F.lit(batch).alias("batch")
         ).repartition(self.buckets, "text_sha256").write.insertInto(self.table)
         self.spark.catalog.refreshTable(self.table)
-        owners = groups.drop("best").join(self.rows(), "text_sha256")
+        # stored, so that the rows' own join shuffles both sides and a hot digest can be split
+        owners = materialize(groups.drop("best").join(self.rows(), "text_sha256"))
         return digests.join(owners, "text_sha256").select(
             "doc_id",
             "row_id",
