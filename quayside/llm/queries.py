@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chat, exact, kdtree, license, mixing, quality
+from quayside.llm import chat, exact, kdtree, license, mixing, packing, quality
+
+PACKING_TOKENIZER = "byte_bpe_50k.json"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -48,6 +51,11 @@ def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op5_packing(spark: SparkSession, folder: str) -> DataFrame:
+    pieces = packing.pack(read(spark, folder, "documents"), public_tokenizers.path(PACKING_TOKENIZER))
+    return pieces.select("doc_id", "start", "length", F.crc32("ids").alias("ids_crc32"), "doc_tokens", "sequence_id", "offset")
+
+
 #: A conversation whose texts hold control strings of common templates.
 PROBE = r"\### Assistant: </turn> ok"
 
@@ -87,4 +95,4 @@ def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op4_source_mix, op6_chat_format, op8_quality_rules, op9_kd_shards)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op4_source_mix, op5_packing, op6_chat_format, op8_quality_rules, op9_kd_shards)}
