@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chat, exact, kdtree, license, mixing, packing, quality
+from quayside.llm import chat, exact, kdtree, license, mixing, ngram_join, packing, quality
 
 PACKING_TOKENIZER = "byte_bpe_50k.json"
 
@@ -40,6 +40,10 @@ def op2_exact_dedup(spark: SparkSession, folder: str) -> DataFrame:
     return rows.select("doc_id", "keep_id", "group_size", "kept", "text_sha256")
 
 
+def op3_ngram_join(spark: SparkSession, folder: str) -> DataFrame:
+    return ngram_join.link(read(spark, folder, "documents")).select("doc_id", "n_shingles", "component_id")
+
+
 def op4_source_mix(spark: SparkSession, folder: str) -> DataFrame:
     mixed, rows, goals = mixing.mix(read(spark, folder, "documents"))
     taken = mixed.groupBy("row_id").agg(F.sum("length").alias("taken"))
@@ -95,4 +99,4 @@ def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op4_source_mix, op5_packing, op6_chat_format, op8_quality_rules, op9_kd_shards)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op3_ngram_join, op4_source_mix, op5_packing, op6_chat_format, op8_quality_rules, op9_kd_shards)}
