@@ -6,7 +6,7 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chat, exact, kdtree, license, mixing, ngram_join, packing, quality
+from quayside.llm import chat, exact, html_content, kdtree, license, mixing, ngram_join, packing, quality
 
 PACKING_TOKENIZER = "byte_bpe_50k.json"
 
@@ -99,4 +99,9 @@ def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op3_ngram_join, op4_source_mix, op5_packing, op6_chat_format, op8_quality_rules, op9_kd_shards)}
+def op10_html_content(spark: SparkSession, folder: str) -> DataFrame:
+    pages = html_content.extract(read(spark, folder, "pages"))
+    return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
+
+
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op3_ngram_join, op4_source_mix, op5_packing, op6_chat_format, op8_quality_rules, op9_kd_shards, op10_html_content)}
