@@ -2,11 +2,12 @@
 
 from __future__ import annotations
 
+import json
 import string
 from collections.abc import Callable
 
 from pyspark.errors import AnalysisException
-from pyspark.sql import Column, DataFrame, Window
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from quayside.session import materialize
@@ -77,3 +78,11 @@ def with_offsets(
 def let(value: Column, body: Callable[[Column], Column]) -> Column:
     """``body`` of a value that is computed once, however often and wherever the body names it."""
     return F.get(F.transform(F.array(value), body), F.lit(0))
+
+
+def local_rows(spark: SparkSession, rows: list[tuple], names: str) -> DataFrame:
+    """A few rows that the driver holds, as a literal of the plan. ``names``: "a int, b double"."""
+    fields = [n.split()[0] for n in names.split(",")]
+    kind = ",".join(":".join(n.split()) for n in names.split(","))
+    text = json.dumps([dict(zip(fields, r)) for r in rows])
+    return spark.range(1).select(F.inline(F.from_json(F.lit(text), f"array<struct<{kind}>>")))

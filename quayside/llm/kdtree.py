@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored, text_or_empty, unit, with_offsets, with_row_id
+from quayside.llm.common import local_rows, stored, text_or_empty, unit, with_offsets, with_row_id
 from quayside.session import materialize
 
 BINS = 1024
@@ -82,8 +82,8 @@ def _cuts(spark: SparkSession, rows: DataFrame, nodes: dict[int, int], dims: int
         open_nodes = {n: s for n, s in state.items() if n not in found}
         if not open_nodes:
             break
-        spans = spark.createDataFrame(
-            [(n, s[0], s[1], (s[2] - s[1]) / BINS or 1.0) for n, s in open_nodes.items()], "node int, dim int, low double, step double"
+        spans = local_rows(
+            spark, [(n, s[0], s[1], (s[2] - s[1]) / BINS or 1.0) for n, s in open_nodes.items()], "node int, dim int, low double, step double"
         )
         value = F.element_at(F.array(*(F.col(f"d{i}") for i in range(dims))), F.col("dim") + 1)
         place = F.floor((value - F.col("low")) / F.col("step"))
@@ -123,24 +123,24 @@ def shard(
     tree = {0: (0, shards)}  # node: its first shard and how many it holds
     while any(k > 1 for _, k in tree.values()):
         wide = {n: k for n, (_, k) in tree.items() if k > 1}
-        active = rows.join(F.broadcast(spark.createDataFrame([(n,) for n in wide], "node int")), "node", "left_semi")
+        active = rows.join(F.broadcast(local_rows(spark, [(n,) for n in wide], "node int")), "node", "left_semi")
         cuts = _cuts(spark, active, wide, dims, max(1.0, total / shards))
         grown, moves = {}, []
         for n, (first, k) in tree.items():
             if k == 1:
-                moves.append((n, 0, float("inf"), len(grown), -1))
+                moves.append((n, 0, 1e300, len(grown), -1))
                 grown[len(grown)] = (first, 1)
                 continue
             dim, at = cuts.get(n, (0, 0.0))
             left, right = len(grown), len(grown) + 1
             moves.append((n, dim, at, left, right))
             grown[left], grown[right] = (first, (k + 1) // 2), (first + (k + 1) // 2, k // 2)
-        table = F.broadcast(spark.createDataFrame(moves, "node int, dim int, at double, below int, above int"))  # one row per node
+        table = F.broadcast(local_rows(spark, moves, "node int, dim int, at double, below int, above int"))  # one row per node
         value = F.element_at(F.array(*(F.col(f"d{i}") for i in range(dims))), F.col("dim") + 1)
         rows = rows.join(table, "node").withColumn("node", F.when(value < F.col("at"), F.col("below")).otherwise(F.col("above")))
         rows = rows.drop("dim", "at", "below", "above")
         tree = grown
-    leaves = F.broadcast(spark.createDataFrame([(n, first) for n, (first, _) in tree.items()], "node int, shard int"))  # one row per shard
+    leaves = F.broadcast(local_rows(spark, [(n, first) for n, (first, _) in tree.items()], "node int, shard int"))  # one row per shard
     placed = rows.join(leaves, "node").select("doc_id", "size", "text_crc32", "spread", "shard")
     slotted = with_offsets(placed, ["shard"], "spread", ["doc_id"], F.lit(1), "slot", count)
     return slotted.select("doc_id", "size", "text_crc32", "shard", "slot")
