@@ -6,9 +6,9 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chat, exact, html_content, kdtree, license, mixing, ngram_join, packing, quality
+from quayside.llm import chat, exact, html_content, kdtree, license, lm, mixing, ngram_join, packing, quality
 
-PACKING_TOKENIZER = "byte_bpe_50k.json"
+PACKING_TOKENIZER = LM_TOKENIZER = "byte_bpe_50k.json"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -88,6 +88,10 @@ def op6_chat_format(spark: SparkSession, folder: str) -> DataFrame:
     )
 
 
+def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
+    return lm.score(read(spark, folder, "documents"), public_tokenizers.path(LM_TOKENIZER))
+
+
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
     return quality.measure(read(spark, folder, "documents")).select("doc_id", "quality.*")
 
@@ -104,4 +108,4 @@ def op10_html_content(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op3_ngram_join, op4_source_mix, op5_packing, op6_chat_format, op8_quality_rules, op9_kd_shards, op10_html_content)}
+QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op3_ngram_join, op4_source_mix, op5_packing, op6_chat_format, op7_lm_scores, op8_quality_rules, op9_kd_shards, op10_html_content)}
