@@ -1,9 +1,10 @@
 """N-gram Jaccard join by parity sketches.
 
-A document is the set of its distinct word shingles. Equal sets are one class, found by a 128-bit digest. Each class
+A document is the set of its distinct word shingles. Equal sets are one class, found by a 64-bit digest. Each class
 has a parity sketch per size band: every shingle toggles one bit of one of t + 1 words of 64 bits. The Hamming distance
 of two sketches is at most the symmetric difference of the sets, and for two sets of the band that link, this is
-at most t; so at least one word of their sketches is equal, and an equi-join on (band, place, word) misses no link.
+at most t; so at least one word of their sketches is equal, and an equi-join on (band, place, word) misses no link. A few spare
+words make sure that not only empty ones are equal.
 Bands are geometric with the smallest size ratio that a link allows, so linked sets share a band or lie in
 neighbouring ones; every class joins in its own band and in the next.
 
@@ -12,8 +13,8 @@ a bucket are first verified against its smallest member, then against its larges
 component are joined out, and only across components. A family of k near copies so costs about k
 verifications, and no link between components is lost.
 
-Shingles are compared by 64-bit hashes of their words (two different shingles of a pair of documents of a thousand words
-collide with a probability below 1e-12).
+Shingles and sets are compared by 64-bit hashes (two different shingles of a pair of documents of a thousand words
+collide with a probability below 1e-12, two sets among 10**9 with one of about 3 %).
 
 Defined cases: a null, empty or blank text has the empty set and links with nothing, not even another
 empty one; a text with fewer words than a shingle is one shingle of all its words; equal rows fall in one class; null ids
@@ -24,7 +25,7 @@ from __future__ import annotations
 
 import hashlib
 import math
-from collections.abc import Iterator
+from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
@@ -70,14 +71,15 @@ def shingles(text: str | None, width: int, words: WordHashes) -> np.ndarray:
 
 
 class Bands:
-    """Size bands and their numbers of differences for a similarity of at least ``percent`` / 100."""
+    """Size bands, and the differences and places of their sketches, for a similarity of at least ``percent`` / 100."""
 
-    #: Width of a band in steps of the smallest size ratio that a link allows.
-    STEPS = 4
+    #: A band's largest size over its smallest, as a logarithm, if the smallest ratio that a link allows isn't larger.
+    WIDTH = 0.45
 
     def __init__(self, percent: int):
         self.percent, self.step = percent, math.log(100 / percent)
-        self.width = self.step * self.STEPS
+        self.width = self.step * max(1, int(self.WIDTH / self.step))
+        self._places: dict[int, tuple[int, int]] = {}
 
     def of(self, size: int) -> list[int]:
         """A set's own band, and the next one where a larger set that links with it may lie there."""
@@ -89,116 +91,171 @@ class Bands:
         most = math.floor(math.exp((band + 1) * self.width)) + 1
         return (100 - self.percent) * 2 * most // (100 + self.percent)
 
-
-#: Independent spreads of the shingles over the places of a sketch.
-SPREADS = 4
+    def places(self, band: int) -> tuple[int, int]:
+        """Words of a sketch, and how many of them are spare: more than a small set of the band is likely to leave empty."""
+        if band not in self._places:
+            words, least = self.differences(band) + 1, math.exp(band * self.width) * self.percent / 100
+            spare = 0
+            while spare <= words // 4:
+                empty = (words + spare) * (1 - 1 / (words + spare)) ** least
+                if empty + 3 * math.sqrt(empty) < spare + 1:
+                    break
+                spare += 1
+            self._places[band] = words + spare, spare
+        return self._places[band]
 
 
 def sketch_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys (64-bit hashes of band, spread, place and word) of a set's sketches.
+    """Keys (64-bit hashes of band, place and word) of a set's sketches.
 
-    Empty words would fill large buckets. A set that has any leaves them out and is sketched again with another
-    spread: two sets that agree in empty words only both do so, and meet there. The last spread keeps all its words.
+    With s spare words, two linked sets agree in at least s + 1 words. Empty words would fill large
+    buckets; a set with at most s of them leaves them out, since one of those it shares is not empty then.
     """
     keys = []
     with np.errstate(over="ignore"):
         for band in bands.of(len(hashes)):
-            places = bands.differences(band) + 1
-            for spread in range(SPREADS):
-                h = _mixed(hashes ^ (_MIX[1] + np.uint64(spread) * _MIX[0]))
-                place = ((h >> np.uint64(32)) % np.uint64(places)).astype("int64")
-                words = np.zeros(places, "uint64")
-                np.bitwise_xor.at(words, place, np.uint64(1) << (h & np.uint64(63)))
-                named = np.arange(places, dtype="uint64") * _MIX[0] + np.uint64(band * SPREADS + spread) * _MIX[1]
-                key, empty = _mixed(_mixed(words + _MIX[2]) + named), words == 0
-                if not empty.any() or spread == SPREADS - 1:
-                    keys.append(key)
-                    break
-                keys.append(key[~empty])
+            places, spare = bands.places(band)
+            h = _mixed(hashes ^ _MIX[1])
+            place = ((h >> np.uint64(32)) % np.uint64(places)).astype("int64")
+            words = np.zeros(places, "uint64")
+            np.bitwise_xor.at(words, place, np.uint64(1) << (h & np.uint64(63)))
+            key = _mixed(_mixed(words + _MIX[2]) + np.arange(places, dtype="uint64") * _MIX[0] + np.uint64(band) * _MIX[1])
+            empty = words == 0
+            keys.append(key if empty.sum() > spare else key[~empty])
     return np.concatenate(keys)
 
 
-def digest(hashes: np.ndarray) -> bytes:
-    return hashlib.blake2b(hashes.tobytes(), digest_size=16).digest()
+def parity(hashes: np.ndarray) -> np.ndarray:
+    """Parity sketch of a set: at least two bits for each shingle, a power of two of them."""
+    bits = max(64, 1 << (2 * len(hashes) - 1).bit_length())
+    out = np.zeros(bits // 64, "uint64")
+    at = hashes & np.uint64(bits - 1)
+    np.bitwise_xor.at(out, (at >> np.uint64(6)).astype("int64"), np.uint64(1) << (at & np.uint64(63)))
+    return out
+
+
+def hamming(x: np.ndarray, y: np.ndarray) -> int:
+    """Distance of two parity sketches, a lower bound of the sets' symmetric difference; the longer one is folded first."""
+    x, y = sorted((x, y), key=len)
+    while len(y) > len(x):
+        y = y[: len(y) // 2] ^ y[len(y) // 2 :]
+    return int(np.bitwise_count(x ^ y).sum())
+
+
+def set_number(hashes: np.ndarray) -> int:
+    """64-bit digest of a set, as a signed number."""
+    return int.from_bytes(hashlib.blake2b(hashes.tobytes(), digest_size=8).digest(), "little", signed=True)
 
 
 def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Stores doc_id, row_id, n_shingles, set (digest; null for the empty set) and keys of every row."""
+    """Stores doc_id, row_id, n_shingles, v (digest; null for the empty set) and keys of every row.
+
+    A set that a task meets again gets no keys there, so a set of very many rows has them once per task.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bands = WordHashes(), Bands(percent)
+        words, bands, met = WordHashes(), Bands(percent), set()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
                 sets = [shingles(t.as_py(), width, words) for t in piece.column(2)]
-                keys = [sketch_keys(s, bands).view("int64") if len(s) else np.empty(0, "int64") for s in sets]
+                numbers = [set_number(s) if len(s) else None for s in sets]
+                keys = []
+                for v, s in zip(numbers, sets):
+                    keys.append(np.empty(0, "int64") if v is None or v in met else sketch_keys(s, bands).view("int64"))
+                    if len(met) >= REMEMBERED:
+                        met.clear()
+                    met.add(v)
                 ends = np.cumsum([0, *map(len, keys)]).astype("int32")
                 yield pa.record_batch(
                     [
                         piece.column(0),
                         piece.column(1),
                         pa.array([len(s) for s in sets], pa.int64()),
-                        pa.array([digest(s) if len(s) else None for s in sets], pa.binary()),
+                        pa.array(numbers, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.empty(0, "int64"))),
                     ],
-                    names=["doc_id", "row_id", "n_shingles", "set", "keys"],
+                    names=["doc_id", "row_id", "n_shingles", "v", "keys"],
                 )
 
     narrow = with_row_id(docs, "row_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "row_id", F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, row_id string, n_shingles bigint, set binary, keys array<bigint>"
+    schema = "doc_id bigint, row_id string, n_shingles bigint, v bigint, keys array<bigint>"
     return materialize(narrow.mapInArrow(run, schema))
 
 
 def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
-    """Stores v and the sorted hashes of its set as bytes, for the rows that stand for the wanted classes."""
+    """Stores v, size, parity sketch and sorted hashes (as bytes) for the rows that stand for the wanted classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         words = WordHashes()
         for batch in batches:
             for at in range(0, batch.num_rows, 256):
                 piece = batch.slice(at, 256)
-                hashes = [shingles(t.as_py(), width, words).tobytes() for t in piece.column(1)]
-                yield pa.record_batch([piece.column(0), pa.array(hashes, pa.binary())], names=["v", "hashes"])
+                sets = [shingles(t.as_py(), width, words) for t in piece.column(1)]
+                yield pa.record_batch(
+                    [
+                        piece.column(0),
+                        pa.array([len(x) for x in sets], pa.int64()),
+                        pa.array([parity(x).tobytes() for x in sets], pa.binary()),
+                        pa.array([x.tobytes() for x in sets], pa.binary()),
+                    ],
+                    names=["v", "n", "parity", "hashes"],
+                )
 
     texts = with_row_id(docs, "row_id").select("row_id", F.col("text").cast("string").alias("text"))
     narrow = texts.join(wanted, "row_id").select("v", "text")
-    return materialize(narrow.mapInArrow(run, "v bigint, hashes binary"))
+    return materialize(narrow.mapInArrow(run, "v bigint, n bigint, parity binary, hashes binary"))
 
 
-def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets link."""
+def _joined(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
+    """Pairs with the named columns of a's set, then of b's."""
+    left = sets.select(F.col("v").alias("a"), *(F.col(c).alias(f"{c}_a") for c in columns))
+    right = sets.select(F.col("v").alias("b"), *(F.col(c).alias(f"{c}_b") for c in columns))
+    return pairs.join(left, "a").join(right, "b").select("a", "b", *(f"{c}_{x}" for x in "ab" for c in columns))
+
+
+def _kept(rows: DataFrame, test: Callable[..., bool]) -> DataFrame:
+    """The pairs whose columns pass."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            keep = []
-            for x, y in zip(batch.column(2), batch.column(3)):
-                x, y = np.frombuffer(x.as_py(), "uint64"), np.frombuffer(y.as_py(), "uint64")
-                both = len(np.intersect1d(x, y, assume_unique=True))
-                keep.append(100 * both >= percent * (len(x) + len(y) - both))
-            yield pa.record_batch([batch.column(0), batch.column(1)], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+            keep = [test(*(x.as_py() for x in row)) for row in zip(*batch.columns[2:])]
+            yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
+
+    return rows.mapInArrow(run, "a bigint, b bigint")
+
+
+def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """The pairs (a, b) whose full sets link. Whole sets move only for pairs that their parity sketches leave open."""
+
+    def close(n: int, x: bytes, m: int, y: bytes) -> bool:
+        most = (100 - percent) * (n + m) // (100 + percent)
+        return abs(n - m) <= most and hamming(np.frombuffer(x, "uint64"), np.frombuffer(y, "uint64")) <= most
+
+    def linked(x: bytes, y: bytes) -> bool:
+        x, y = np.frombuffer(x, "uint64"), np.frombuffer(y, "uint64")
+        both = len(np.intersect1d(x, y, assume_unique=True))
+        return 100 * both >= percent * (len(x) + len(y) - both)
 
-    left = sets.select(F.col("v").alias("a"), F.col("hashes").alias("x"))
-    right = sets.select(F.col("v").alias("b"), F.col("hashes").alias("y"))
-    joined = pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y")
-    return joined.mapInArrow(run, "a bigint, b bigint")
+    near = materialize(_kept(_joined(pairs, sets, "n", "parity"), close))
+    return _kept(_joined(near, sets, "hashes"), linked)
 
 
 def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, row_id, n_shingles, component_id and first_row (the row that stands for its component) for every row."""
     docs = stored(docs)
     rows = sketch(docs, width, percent)
-    # one row per class, combined map-side: a hot class costs one row per task. Its number v is stored with it.
+    # one row per class, combined map-side: a hot class costs one row per task
     classes = materialize(
-        rows.filter("set is not null")
-        .groupBy("set")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("row_id").alias("row_id"))
-        .withColumn("v", F.monotonically_increasing_id())
+        rows.filter("v is not null")
+        .groupBy("v")
+        .agg(F.min("doc_id").alias("doc_id"), F.min("row_id").alias("row_id"), F.max("n_shingles").alias("n"))
     )
-    entries = rows.join(classes.select("row_id", "v"), "row_id").select("v", F.col("n_shingles").alias("n"), F.explode("keys").alias("key"))
-    # a class has a tenth as many keys as shingles, so even the key of a family that fills the table is a small share of the rows
+    entries = rows.select("v", F.explode("keys").alias("key"))
+    # a class has a large number of keys, so even one of a family that fills the table is a small share of the rows
     bucket = Window.partitionBy("key")
     members = materialize(
-        entries.withColumns({"low": F.min("v").over(bucket), "high": F.max("v").over(bucket)}).filter("low <> high")
+        entries.withColumns({"low": F.min("v").over(bucket), "high": F.max("v").over(bucket)}).filter("low <> high").distinct()
     )
     wanted = classes.select("row_id", "v").join(members.select("v").distinct(), "v", "left_semi")
     sets = _full_sets(docs, wanted, width)
@@ -212,7 +269,7 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     for step in ("high", "all"):
         roots = components(links)
         placed = members.join(roots, F.col("v") == F.col("node"), "left").select(
-            "key", "v", "n", "low", "high", F.coalesce("root", "v").alias("root")
+            "key", "v", "low", "high", F.coalesce("root", "v").alias("root")
         )
         mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
         members = materialize(placed.join(mixed, "key", "left_semi").drop("root"))
@@ -220,6 +277,7 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
             pairs = ends("high", members)
         else:
             rooted = members.join(roots, F.col("v") == F.col("node"), "left").withColumn("root", F.coalesce("root", "v"))
+            rooted = rooted.join(classes.select("v", "n"), "v")
             x = rooted.select("key", F.col("v").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
             y = rooted.select("key", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
             near = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
@@ -228,10 +286,10 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         links = materialize(links.unionAll(_verified(pairs, sets, percent)))
         tried = tried.unionAll(pairs)
     labelled = classes.join(components(links), F.col("v") == F.col("node"), "left")
-    labelled = materialize(labelled.select("set", "doc_id", "row_id", F.coalesce("root", "v").alias("root")))
+    labelled = materialize(labelled.select("v", "doc_id", "row_id", F.coalesce("root", "v").alias("root")))
     firsts = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("row_id").alias("first_row"))
-    by_class = materialize(labelled.select("set", "root").join(firsts, "root").drop("root"))
-    return rows.drop("keys").join(by_class, "set", "left").select(
+    by_class = materialize(labelled.select("v", "root").join(firsts, "root").drop("root"))
+    return rows.drop("keys").join(by_class, "v", "left").select(
         "doc_id",
         "row_id",
         "n_shingles",
