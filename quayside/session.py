@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -49,9 +51,26 @@ def shared_dir(spark: SparkSession) -> str:
     return folder
 
 
+_records: list[list[str]] = []
+
+
 def new_path(spark: SparkSession) -> str:
     """A path in the shared folder that nothing has used yet."""
-    return f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    path = f"{shared_dir(spark)}/{uuid.uuid4().hex}"
+    for record in _records:
+        record.append(path)
+    return path
+
+
+@contextmanager
+def recorded_paths() -> Iterator[list[str]]:
+    """The paths that ``new_path`` gives out meanwhile, for whoever wants to drop them when they are read no more."""
+    paths: list[str] = []
+    _records.append(paths)
+    try:
+        yield paths
+    finally:
+        _records.remove(paths)
 
 
 def drop_path(spark: SparkSession, path: str) -> None:
