@@ -34,9 +34,22 @@ def stored(df: DataFrame) -> DataFrame:
         return materialize(df)
 
 
-def with_row_id(df: DataFrame, name: str) -> DataFrame:
-    """Adds the file and place of each row of a ``stored`` frame: the same in every run, however its files are split."""
-    return df.select("*", F.concat_ws("#", "_metadata.file_path", "_metadata.row_index").alias(name))
+def row_id() -> Column:
+    """File and place of a row of a ``stored`` frame: the same in every run, however its files are split."""
+    return F.concat_ws("#", "_metadata.file_path", "_metadata.row_index")
+
+
+#: Name of the row id beside all columns of a table.
+ROW = "__quayside_row"
+
+
+def with_row_id(df: DataFrame) -> DataFrame:
+    return df.select("*", row_id().alias(ROW))
+
+
+def names(df: DataFrame) -> list[str]:
+    """The columns of ``df``, quoted."""
+    return [f"`{c}`" for c in df.columns]
 
 
 def unit(hashed: Column) -> Column:

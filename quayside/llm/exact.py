@@ -17,7 +17,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import lower_ascii, stored, text_or_empty, with_row_id
+from quayside.llm.common import ROW, lower_ascii, row_id, stored, text_or_empty, with_row_id
 from quayside.session import materialize, new_path
 
 
@@ -68,9 +68,8 @@ class DigestIndex:
 
 def digests(docs: DataFrame) -> DataFrame:
     """Stores (doc_id, row_id, text_sha256) of stored ``docs``; the texts are read once and not moved."""
-    rows = with_row_id(docs, "__row")
     return materialize(
-        rows.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("__row").alias("row_id"), digest().alias("text_sha256"))
+        docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_id().alias("row_id"), digest().alias("text_sha256"))
     )
 
 
@@ -83,5 +82,5 @@ def label(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
 def deduplicate(docs: DataFrame, index: DigestIndex | None = None) -> DataFrame:
     """The rows of ``docs`` that stay, with their columns."""
     docs = stored(docs)
-    kept = label(docs, index).filter("kept").select(F.col("row_id").alias("__row"))
-    return with_row_id(docs, "__row").join(kept, "__row", "left_semi").drop("__row")
+    kept = label(docs, index).filter("kept").select(F.col("row_id").alias(ROW))
+    return with_row_id(docs).join(kept, ROW, "left_semi").drop(ROW)

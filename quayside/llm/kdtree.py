@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm.common import local_rows, stored, text_or_empty, unit, with_offsets, with_row_id
+from quayside.llm.common import local_rows, row_id, stored, text_or_empty, unit, with_offsets
 from quayside.session import materialize
 
 BINS = 1024
@@ -34,13 +34,12 @@ def measure(docs: DataFrame, numeric: tuple[str, ...], labels: tuple[str, ...])
     raw = [F.log2(F.octet_length(text_or_empty()).cast("double") + 1)]
     raw += [F.coalesce(F.col(c).cast("double"), F.lit(0.0)) for c in numeric]
     raw += [unit(F.xxhash64(F.col(c).isNull(), F.col(c).cast("string"))) for c in labels]
-    rows = with_row_id(stored(docs), "__row")
     return materialize(
-        rows.select(
+        stored(docs).select(
             F.col("doc_id").cast("bigint").alias("doc_id"),
             (F.octet_length(text_or_empty()).cast("bigint") + ROW_BYTES).alias("size"),
             F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"),
-            F.xxhash64("doc_id", F.crc32(F.encode(text_or_empty(), "UTF-8")), F.when(F.col("doc_id").isNull(), F.col("__row"))).alias("spread"),
+            F.xxhash64("doc_id", F.crc32(F.encode(text_or_empty(), "UTF-8")), F.when(F.col("doc_id").isNull(), row_id())).alias("spread"),
             *(d.alias(f"raw{i}") for i, d in enumerate(raw)),
         )
     )

@@ -16,7 +16,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import WORD, stored, text_or_empty, with_offsets, with_row_id
+from quayside.llm.common import ROW, WORD, names, row_id, stored, text_or_empty, with_offsets, with_row_id
 from quayside.operators.ranking import with_row_index, with_running_total
 from quayside.session import materialize
 
@@ -32,8 +32,8 @@ def sized(docs: DataFrame) -> DataFrame:
     """Stores the number of words of every row, its source and the hash that shuffles it."""
     text = text_or_empty()
     return materialize(
-        with_row_id(stored(docs), "row_id").select(
-            "row_id",
+        stored(docs).select(
+            row_id().alias("row_id"),
             F.col("doc_id").cast("bigint").alias("doc_id"),
             F.col("source").cast("string").alias("source"),
             F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("size"),
@@ -175,15 +175,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     docs = stored(docs)
     mixed, rows, _ = mix(docs, **options)
     # a document's pieces are at most max_repeats per block that it touches
-    taken = mixed.join(rows.select("row_id", "size"), "row_id").groupBy("row_id").agg(
+    taken = mixed.join(rows.select("row_id", "size"), "row_id").groupBy(F.col("row_id").alias("__row_id")).agg(
         F.collect_list(F.struct("slot", "start", "length", "size")).alias("__pieces")
     )
-    joined = with_row_id(docs, "row_id").join(taken, "row_id")
-    piece = joined.select(*docs.columns, F.inline("__pieces").alias("__slot", "__start", "__length", "__size"))
+    joined = with_row_id(docs).join(taken, F.col(ROW) == F.col("__row_id"))
+    piece = joined.select(*names(docs), F.inline("__pieces").alias("__slot", "__start", "__length", "__size"))
     words = F.regexp_extract_all("text", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
     cut = F.array_join(F.slice(words, F.col("__start").cast("int") + 1, F.col("__length").cast("int")), "")
     text = F.when(F.col("__length") == F.col("__size"), F.col("text")).otherwise(cut)
     piece = piece.withColumn("text", text)
     if "n_chars" in docs.columns:
         piece = piece.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return piece.orderBy("__slot", "doc_id", "__start").select(*docs.columns)
+    return piece.orderBy("__slot", "doc_id", "__start").select(*names(docs))

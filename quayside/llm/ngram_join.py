@@ -33,7 +33,7 @@ import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import stored, with_row_id
+from quayside.llm.common import ROW, row_id, stored, with_row_id
 from quayside.llm.components import components
 from quayside.session import materialize
 
@@ -178,7 +178,7 @@ def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
                     names=["doc_id", "row_id", "n_shingles", "v", "keys"],
                 )
 
-    narrow = with_row_id(docs, "row_id").select(F.col("doc_id").cast("bigint").alias("doc_id"), "row_id", F.col("text").cast("string").alias("text"))
+    narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_id().alias("row_id"), F.col("text").cast("string").alias("text"))
     schema = "doc_id bigint, row_id string, n_shingles bigint, v bigint, keys array<bigint>"
     return materialize(narrow.mapInArrow(run, schema))
 
@@ -202,7 +202,7 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
                     names=["v", "n", "parity", "hashes"],
                 )
 
-    texts = with_row_id(docs, "row_id").select("row_id", F.col("text").cast("string").alias("text"))
+    texts = docs.select(row_id().alias("row_id"), F.col("text").cast("string").alias("text"))
     narrow = texts.join(wanted, "row_id").select("v", "text")
     return materialize(narrow.mapInArrow(run, "v bigint, n bigint, parity binary, hashes binary"))
 
@@ -301,5 +301,5 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
 def keep_one_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """One row of every component, and all rows without shingles, with the columns of ``docs``."""
     docs = stored(docs)
-    kept = link(docs, width, percent).filter("row_id = first_row").select("row_id")
-    return with_row_id(docs, "__row").join(kept, F.col("__row") == F.col("row_id"), "left_semi").select(*docs.columns)
+    kept = link(docs, width, percent).filter("row_id = first_row").select(F.col("row_id").alias(ROW))
+    return with_row_id(docs).join(kept, ROW, "left_semi").drop(ROW)

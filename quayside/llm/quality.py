@@ -101,8 +101,8 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > 3, let(windows, marked)).otherwise(0)
 
 
-def measure(docs: DataFrame) -> DataFrame:
-    """Adds the struct ``quality``: the base counts, both distances (null where too short) and the verdicts."""
+def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
+    """Adds the struct ``name``: the base counts, both distances (null where too short) and the verdicts."""
     refs = references(docs).select(F.col("lang").alias("__lang"), "class_shares", "common", "common_shares")
     refs = refs.select("__lang", F.struct("class_shares", "common", "common_shares").alias("__ref"))
     few = refs.count() <= BROADCAST_LANGUAGES
@@ -112,7 +112,7 @@ def measure(docs: DataFrame) -> DataFrame:
     words, n = F.col("__words"), F.size("__words")
     lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(rf"[^{SPACE}]"))
     rows = rows.withColumn(
-        "quality",
+        name,
         F.struct(
             n.cast("bigint").alias("n_words"),
             F.length(F.regexp_replace(text, rf"[{SPACE}]+", "")).cast("bigint").alias("word_chars"),
@@ -128,10 +128,10 @@ def measure(docs: DataFrame) -> DataFrame:
             F.when(n >= MIN_WORDS_COMMON, _common_distance(words, n)).alias("common_distance"),
         ),
     ).drop("__words", "__ref")
-    q = F.col("quality")
+    q = F.col(name)
     failed = (q["n_words"] < MIN_WORDS) | (q["n_repeat_words"] > MAX_REPEAT * q["n_words"])
     far = F.coalesce(q["class_distance"] > MAX_CLASSES, F.lit(False)) | F.coalesce(q["common_distance"] > MAX_COMMON, F.lit(False))
-    return rows.withColumn("quality", q.withField("base_failed", failed).withField("kept", ~failed & ~far))
+    return rows.withColumn(name, q.withField("base_failed", failed).withField("kept", ~failed & ~far))
 
 
 def _common_distance(words: Column, n: Column) -> Column:
@@ -144,4 +144,4 @@ def _common_distance(words: Column, n: Column) -> Column:
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows that pass, with the columns of ``docs``."""
-    return measure(docs).filter("quality.kept").select(*docs.columns)
+    return measure(docs, "__quality").filter("__quality.kept").drop("__quality")

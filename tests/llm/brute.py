@@ -1,0 +1,136 @@
+"""Brute-force versions of the operators in plain Python, over lists of row dictionaries."""
+
+from __future__ import annotations
+
+import hashlib
+import math
+import re
+import string
+import zlib
+from collections import Counter, defaultdict
+
+LOWER = str.maketrans(string.ascii_uppercase, string.ascii_lowercase)
+PHRASES = {"cc by": "cc-by", "general public license": "gpl", "all rights reserved": "reserved"}
+
+
+def words(text):
+    return re.findall(r"[^\x20\x09-\x0D]+", text or "")
+
+
+def license_base(rows):
+    out = []
+    for r in rows:
+        w = re.findall(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+", (r["text"] or "").translate(LOWER))
+        places = []
+        for phrase, label in PHRASES.items():
+            p = phrase.split()
+            places += [(i, label) for i in range(len(w) - len(p) + 1) if w[i : i + len(p)] == p]
+        starts = [i for i, _ in places]
+        out.append((r["doc_id"], len(w), len(places), min(starts, default=None), max(starts, default=None), ",".join(sorted({x for _, x in places}))))
+    return out
+
+
+def exact(rows):
+    groups = defaultdict(list)
+    for i, r in enumerate(rows):
+        groups[(r["text"] or "").translate(LOWER)].append((r["doc_id"] is not None, r["doc_id"] or 0, i))
+    out = []
+    for text, members in groups.items():
+        best = max(members)
+        keep = best[1] if best[0] else None
+        for known, doc_id, i in members:
+            same = (known, doc_id) == best[:2]
+            out.append((doc_id if known else None, keep, len(members), same, hashlib.sha256(text.encode()).hexdigest()))
+    return out
+
+
+def shingle_set(text, width):
+    w = [x.translate(LOWER) for x in words(text)]
+    if len(w) < width:
+        return {tuple(w)} if w else set()
+    return {tuple(w[i : i + width]) for i in range(len(w) - width + 1)}
+
+
+def near(rows, width, percent):
+    """(doc_id, set size, smallest id of the component) per row, over all pairs."""
+    sets = [shingle_set(r["text"], width) for r in rows]
+    parent = list(range(len(rows)))
+
+    def find(i):
+        while parent[i] != i:
+            i = parent[i]
+        return i
+
+    holders = defaultdict(list)
+    for i, s in enumerate(sets):
+        for x in s:
+            holders[x].append(i)
+    for i, s in enumerate(sets):
+        shared = Counter(j for x in s for j in holders[x] if j > i)
+        for j, n in shared.items():
+            if 100 * n >= percent * (len(s) + len(sets[j]) - n):
+                a, b = find(i), find(j)
+                parent[max(a, b)] = min(a, b)
+    ids = defaultdict(list)
+    for i, r in enumerate(rows):
+        if r["doc_id"] is not None:
+            ids[find(i)].append(r["doc_id"])
+    return [(r["doc_id"], len(sets[i]), min(ids[find(i)], default=None) if sets[i] else r["doc_id"]) for i, r in enumerate(rows)]
+
+
+def mix_targets(rows, weights=(5, 2, 1), most=3):
+    sizes = Counter()
+    for r in rows:
+        sizes[r["source"]] += len(words(r["text"]))
+    order = sorted(sizes, key=lambda s: (s is None, (s or "").encode()))
+    weight = {s: weights[i % len(weights)] for i, s in enumerate(order)}
+    total, held, targets = sum(sizes.values()), set(), {}
+    while True:
+        free = [s for s in order if s not in held]
+        left = total - sum(most * sizes[s] for s in held)
+        targets = {s: left * weight[s] / sum(weight[x] for x in free) for s in free} | {s: float(most * sizes[s]) for s in held}
+        over = {s for s in free if targets[s] >= most * sizes[s]}
+        if not over:
+            return sizes, targets
+        held |= over
+        if held == set(order):
+            return sizes, {s: float(most * sizes[s]) for s in order}
+
+
+def conversation(rows, loss_role="assistant"):
+    by = defaultdict(list)
+    for r in rows:
+        turn = (r["turn"] is not None, r["turn"] or 0, r["role"] or "", r["text"] or "")
+        by[r["conv_id"]].append(turn)
+    out = []
+    for conv, turns in by.items():
+        turns.sort(key=lambda t: (t[0], t[1], t[2].encode(), t[3].encode()))
+        flat = "".join(f"{role}\n{text}\n" for _, _, role, text in turns)
+        loss = "".join(text for _, _, role, text in turns if role == loss_role)
+        out.append((conv, len(turns), hashlib.sha256(flat.encode()).hexdigest(), len(loss), hashlib.sha256(loss.encode()).hexdigest()))
+    return out
+
+
+def unigram(rows):
+    tokens = [[*((x.translate(LOWER)) for x in words(r["text"])), None] for r in rows]
+    held = [zlib.crc32(b"" if r["doc_id"] is None else str(r["doc_id"]).encode()) % 7 == 2 for r in rows]
+    counts = Counter(t for ts, h in zip(tokens, held) if not h for t in ts)
+    total, distinct = sum(counts.values()), len(counts)
+    return [
+        (r["doc_id"], h, len(ts), sum(counts[t] > 0 for t in ts), total, sum(math.log10((counts[t] + 1) / (total + distinct + 1)) for t in ts))
+        for r, ts, h in zip(rows, tokens, held)
+    ]
+
+
+def quality_base(rows):
+    out = []
+    for r in rows:
+        text = r["text"] or ""
+        w = words(text)
+        seen = Counter(tuple(w[i : i + 3]) for i in range(len(w) - 2))
+        covered = {j for i in range(len(w) - 2) if seen[tuple(w[i : i + 3])] > 1 for j in (i, i + 1, i + 2)}
+        lines = [x for x in text.split("\n") if words(x)]
+        failed = len(w) < 50 or 100 * len(covered) > 50 * len(w)
+        symbols = len(re.findall(r"[#*$%&|<>]", text))
+        out.append((r["doc_id"], len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered), failed))
+    return out
