@@ -45,15 +45,18 @@ class WordTokens(dict):
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
 
+    def learn(self, units: set[str]) -> None:
+        """Looks up what is new among ``units`` in one call."""
+        new = [u for u in units if u not in self]
+        if len(self) + len(new) > REMEMBERED:
+            self.clear()
+            new = list(units)
+        for unit, done in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
+            self[unit] = np.array(done.ids, "<u4").tobytes()
+
     def encode(self, text: str) -> bytes:
         units = UNITS.findall(text)
-        new = [u for u in set(units) if u not in self]
-        if new:
-            if len(self) + len(new) > REMEMBERED:
-                self.clear()
-                new = list(set(units))
-            for unit, done in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-                self[unit] = np.asarray(done.ids, "<u4").tobytes()
+        self.learn(set(units))
         return b"".join(map(self.__getitem__, units))
 
 
