@@ -6,78 +6,38 @@ two and cuts at the fixed window borders; a document that crosses one becomes a
 Only the last window can be short.
 
 Defined cases: a null text counts as empty and is its end token alone; every row is packed, equal rows as often
-as they occur; an empty table gives no pieces. Texts are tokenized word by word where that
-gives the same ids (a space before a word, or white space runs, always begin a new unit of the tokenizer), so
-memory does not grow with the length of a text beyond its own ids.
+as they occur; an empty table gives no pieces. Texts are tokenized in batches of a few megabytes, a longer one by itself.
 """
 
 from __future__ import annotations
 
-import os
-import re
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.llm import tokens
 from quayside.session import materialize
 
-#: White space as the tokenizer sees it.
-_WS = r"\t-\r\x20\x85\xa0  -     　"
-#: Units that never share a token: a word with the space before it, white space before white space, a last white space.
-UNITS = re.compile(rf" ?[^{_WS}]+|[{_WS}]+(?=[{_WS}][^{_WS}])|[{_WS}]+")
-#: Most words whose ids a worker remembers.
-REMEMBERED = 400_000
+#: Bytes of text that are tokenized at a time.
+BATCH_BYTES = 4 << 20
 SCHEMA = "doc_id bigint, part int, start bigint, n bigint, ids binary"
 
 
-class WordTokens(dict):
-    """Ids of each unit as little-endian unsigned 32-bit bytes, looked up once per worker."""
-
-    def __init__(self, path: str):
-        os.environ["TOKENIZERS_PARALLELISM"] = "false"
-        from tokenizers import Tokenizer
-
-        super().__init__()
-        self.tokenizer = Tokenizer.from_file(path)
-        self.tokenizer.encode_special_tokens = True  # their strings in a text are ordinary text
-
-    def learn(self, units: set[str]) -> None:
-        """Looks up what is new among ``units`` in one call."""
-        new = [u for u in units if u not in self]
-        if len(self) + len(new) > REMEMBERED:
-            self.clear()
-            new = list(units)
-        for unit, done in zip(new, self.tokenizer.encode_batch(new, add_special_tokens=False)):
-            self[unit] = np.array(done.ids, "<u4").tobytes()
-
-    def encode(self, text: str) -> bytes:
-        units = UNITS.findall(text)
-        self.learn(set(units))
-        return b"".join(map(self.__getitem__, units))
-
-
-_loaded: dict[str, WordTokens] = {}
-
-
-def word_tokens(path: str) -> WordTokens:
-    if path not in _loaded:
-        _loaded[path] = WordTokens(path)
-    return _loaded[path]
-
-
 def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
     """Stores doc_id, part, start (tokens before it in its part), n and ids (with the end token) of every row."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, part, start, end = word_tokens(tokenizer), TaskContext.get().partitionId(), 0, np.uint32(end_id).tobytes()
+        known, part, start, end = tokens.ids(tokenizer), TaskContext.get().partitionId(), 0, np.uint32(end_id).tobytes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                ids = [words.encode(t.as_py() or "") + end for t in piece.column(1)]
+            sizes = pc.fill_null(pc.binary_length(batch.column(1)), 0).to_numpy(zero_copy_only=False)
+            for at, rows in tokens.slices(sizes, BATCH_BYTES):
+                piece = batch.slice(at, rows)
+                ids = [x + end for x in known.texts(piece.column(1))]
                 n = np.array([len(x) // 4 for x in ids], "int64")
                 starts = start + np.cumsum(n) - n
                 start += int(n.sum())
@@ -92,10 +52,10 @@ def tokenize(docs: DataFrame, tokenizer: str, end_id: int = 1) -> DataFrame:
 
 def pack(docs: DataFrame, tokenizer: str, window: int = 2048, end_id: int = 1) -> DataFrame:
     """doc_id, start, length, ids, doc_tokens, sequence_id, offset for every piece."""
-    tokens = tokenize(docs, tokenizer, end_id)
+    stored = tokenize(docs, tokenizer, end_id)
     before = Window.orderBy("part").rowsBetween(Window.unboundedPreceding, -1)  # one row per partition of the input
-    bases = tokens.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
-    placed = tokens.join(F.broadcast(bases), "part").withColumn("at", F.col("base") + F.col("start"))
+    bases = stored.groupBy("part").agg(F.sum("n").alias("n")).select("part", F.coalesce(F.sum("n").over(before), F.lit(0)).alias("base"))
+    placed = stored.join(F.broadcast(bases), "part").withColumn("at", F.col("base") + F.col("start"))
     first, last = F.floor(F.col("at") / window), F.floor((F.col("at") + F.col("n") - 1) / window)
 
     def piece(k):
