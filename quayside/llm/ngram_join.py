@@ -29,39 +29,33 @@ from collections.abc import Callable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import xxhash
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from quayside.llm import tokens
 from quayside.llm.common import ROW, row_id, stored, with_row_id
 from quayside.llm.components import components
 from quayside.session import materialize
 
-#: Most words whose hashes a worker remembers.
+#: Most sets that a task remembers to have met.
 REMEMBERED = 1_000_000
+#: Bytes of text that are cut into words at a time.
+BATCH_BYTES = 1 << 20
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], "uint64")
 
 
-class WordHashes(dict):
-    def __missing__(self, word: bytes) -> int:
-        if len(self) >= REMEMBERED:
-            self.clear()
-        self[word] = h = xxhash.xxh64_intdigest(word)
-        return h
-
-
 def _mixed(x: np.ndarray) -> np.ndarray:
     x = (x ^ (x >> np.uint64(33))) * _MIX[4]
     x = (x ^ (x >> np.uint64(29))) * _MIX[3]
     return x ^ (x >> np.uint64(32))
 
 
-def shingles(text: str | None, width: int, words: WordHashes) -> np.ndarray:
-    """Sorted distinct 64-bit hashes of the shingles of a text; bytes.split() cuts at space, tab and line breaks only."""
-    parts = (text or "").encode("utf-8", "surrogatepass").lower().split()
-    if not parts:
-        return np.empty(0, "uint64")
-    h = np.fromiter(map(words.__getitem__, parts), "uint64", len(parts))
+def shingles(h: np.ndarray, width: int) -> np.ndarray:
+    """Sorted distinct 64-bit hashes of the shingles of a text, from the hashes of its words."""
+    if not len(h):
+        return h
     wide = min(width, len(h))
     with np.errstate(over="ignore"):
         out = np.full(len(h) - wide + 1, wide, "uint64")
@@ -70,6 +64,16 @@ def shingles(text: str | None, width: int, words: WordHashes) -> np.ndarray:
     return np.unique(out)
 
 
+def text_sets(texts: pa.Array, width: int) -> Iterator[tuple[int, int, list[np.ndarray]]]:
+    """Shingle sets of texts, a few megabytes at a time: first row, rows and their sets."""
+    sizes = pc.fill_null(pc.binary_length(texts), 0).to_numpy(zero_copy_only=False)
+    for at, rows in tokens.slices(sizes, BATCH_BYTES):
+        codes, dictionary, counts = tokens.words(texts.slice(at, rows))
+        listed = dictionary.to_pylist()
+        hashes = np.fromiter(map(xxhash.xxh64_intdigest, listed), "uint64", len(listed))[codes]
+        yield at, rows, [shingles(h, width) for h in np.split(hashes, np.cumsum(counts)[:-1])]
+
+
 class Bands:
     """Size bands, and the differences and places of their sketches, for a similarity of at least ``percent`` / 100."""
 
@@ -154,11 +158,10 @@ def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words, bands, met = WordHashes(), Bands(percent), set()
+        bands, met = Bands(percent), set()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                sets = [shingles(t.as_py(), width, words) for t in piece.column(2)]
+            for at, rows, sets in text_sets(batch.column(2), width):
+                piece = batch.slice(at, rows)
                 numbers = [set_number(s) if len(s) else None for s in sets]
                 keys = []
                 for v, s in zip(numbers, sets):
@@ -187,11 +190,9 @@ def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """Stores v, size, parity sketch and sorted hashes (as bytes) for the rows that stand for the wanted classes."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        words = WordHashes()
         for batch in batches:
-            for at in range(0, batch.num_rows, 256):
-                piece = batch.slice(at, 256)
-                sets = [shingles(t.as_py(), width, words) for t in piece.column(1)]
+            for at, rows, sets in text_sets(batch.column(1), width):
+                piece = batch.slice(at, rows)
                 yield pa.record_batch(
                     [
                         piece.column(0),
