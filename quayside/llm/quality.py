@@ -21,9 +21,9 @@ from quayside.llm.common import WORD, let, text_or_empty
 from quayside.session import materialize
 
 SPACE = r"\x20\x09-\x0D"
-SYMBOLS = "#*$%&|<>"
 #: Classes of characters; what none of them holds is the last class.
 CLASSES = (r"[a-z]+", r"[A-Z]+", r"[0-9]+", rf"[{SPACE}]+", r"[#*$%&|<>]+", r"[!-\"'-);,.-/:=?@\[-`{}~+]+")
+SPACES, SYMBOLS = 3, 4
 COMMON = 16
 #: Longest word that may count as a common word of a language.
 COMMON_LENGTH = 4
@@ -36,16 +36,22 @@ BROADCAST_LANGUAGES = 10_000
 
 
 def _class_counts(text: Column) -> Column:
-    """Characters of each class and of none."""
-    total = F.length(text)
-    counts = [total - F.length(F.regexp_replace(text, c, "")) for c in CLASSES]
-    return F.array(*(c.cast("double") for c in counts), F.greatest(total - sum(counts[1:], counts[0]), F.lit(0)).cast("double"))
+    """Characters of each class and of none; each class is looked for in what the ones before have left over."""
+
+    def step(rest: Column, classes: tuple[str, ...], counts: list[Column]) -> Column:
+        if not classes:
+            return F.array(*counts, F.length(rest))
+        return let(
+            F.regexp_replace(rest, classes[0], ""), lambda left: step(left, classes[1:], [*counts, F.length(rest) - F.length(left)])
+        )
+
+    return step(text, CLASSES, [])
 
 
 def references(docs: DataFrame) -> DataFrame:
     """Stores lang, class_shares, common, common_shares (the last one of all other words): one row per language."""
     text, lang = text_or_empty(), F.col("lang").cast("string").alias("lang")
-    counted = docs.select(lang, _class_counts(text).alias("c"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"))
+    counted = docs.select(lang, F.transform(_class_counts(text), lambda x: x.cast("double")).alias("c"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"))
     totals = counted.groupBy("lang").agg(
         F.sum("n_words").alias("n_words"), *(F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1))
     )
@@ -95,8 +101,9 @@ def _repeat_words(words: Column) -> Column:
 
         return F.when(F.size(F.array_distinct(grams)) < F.size(grams), let(placed, twice)).otherwise(0)
 
-    windows = F.transform(
-        F.sequence(F.lit(2), F.size(words) - 1), lambda i: F.xxhash64(F.get(words, i - 2), F.get(words, i - 1), F.get(words, i))
+    pairs = F.zip_with(words, F.slice(words, F.lit(2), F.size(words) - 1), lambda a, b: F.xxhash64(a, b))
+    windows = F.slice(
+        F.zip_with(pairs, F.slice(words, F.lit(3), F.size(words) - 2), lambda x, c: F.xxhash64(x, c)), F.lit(1), F.size(words) - 2
     )
     return F.when(F.size(words) > 3, let(windows, marked)).otherwise(0)
 
@@ -110,24 +117,24 @@ def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
     text = text_or_empty()
     rows = rows.withColumn("__words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
     words, n = F.col("__words"), F.size("__words")
-    lines = F.filter(F.split(text, "\n", -1), lambda line: line.rlike(rf"[^{SPACE}]"))
+    lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\f\r"))) > 0)
+    rows = rows.withColumn("__classes", _class_counts(text))
+    classes = F.col("__classes")
     rows = rows.withColumn(
         name,
         F.struct(
             n.cast("bigint").alias("n_words"),
-            F.length(F.regexp_replace(text, rf"[{SPACE}]+", "")).cast("bigint").alias("word_chars"),
-            (F.length(text) - F.length(F.regexp_replace(text, r"[#*$%&|<>]+", ""))).cast("bigint").alias("n_symbols"),
+            (F.length(text) - classes[SPACES]).cast("bigint").alias("word_chars"),
+            classes[SYMBOLS].cast("bigint").alias("n_symbols"),
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             _repeat_words(words).cast("bigint").alias("n_repeat_words"),
             F.when(
                 F.length(text) >= MIN_CHARS_CLASSES,
-                distance(
-                    let(_class_counts(text), lambda c: F.transform(c, lambda x: x / F.length(text))), F.col("__ref.class_shares")
-                ),
+                distance(F.transform(classes, lambda x: x.cast("double") / F.length(text)), F.col("__ref.class_shares")),
             ).alias("class_distance"),
             F.when(n >= MIN_WORDS_COMMON, _common_distance(words, n)).alias("common_distance"),
         ),
-    ).drop("__words", "__ref")
+    ).drop("__words", "__ref", "__classes")
     q = F.col(name)
     failed = (q["n_words"] < MIN_WORDS) | (q["n_repeat_words"] > MAX_REPEAT * q["n_words"])
     far = F.coalesce(q["class_distance"] > MAX_CLASSES, F.lit(False)) | F.coalesce(q["common_distance"] > MAX_COMMON, F.lit(False))
@@ -139,7 +146,8 @@ def _common_distance(words: Column, n: Column) -> Column:
         rest = n - F.aggregate(counts, F.lit(0), lambda a, b: a + b)
         return distance(F.transform(F.concat(counts, F.array(rest)), lambda c: c.cast("double") / n), F.col("__ref.common_shares"))
 
-    return let(F.transform("__ref.common", lambda w: n - F.size(F.array_remove(words, w))), against)
+    short = F.filter(words, lambda w: F.length(w) <= COMMON_LENGTH)
+    return let(short, lambda x: let(F.transform("__ref.common", lambda w: F.size(x) - F.size(F.array_remove(x, w))), against))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
