@@ -38,6 +38,14 @@ def mean(total: Column, count: Column) -> Column:
     return (total.cast("decimal(38,2)") / F.nullif(count, F.lit(0))).cast("decimal(38,6)")
 
 
+def mean_money(total_cents: Column, count: Column) -> Column:
+    """``total_cents / count`` in whole cents, rounded half away from zero once, as DECIMAL(38,2)."""
+    n = F.nullif(count, F.lit(0)).cast("decimal(19,0)")
+    doubled = F.abs(total_cents).cast("decimal(19,0)") * 2 + n
+    whole = F.floor((doubled - F.pmod(doubled, n * 2)) / (n * 2)).cast("bigint")
+    return money(whole * F.signum(total_cents.cast("double")).cast("bigint"))
+
+
 def sample_stddev(count: Column, total_cents: Column, squares: Column) -> Column:
     """Sample standard deviation, in units, from exact sums of cents; NULL below two values."""
     n = count.cast("decimal(20,0)")

@@ -81,12 +81,12 @@ def fit(history: DataFrame) -> DataFrame:
 
 
 def predict(models: DataFrame, days: DataFrame) -> DataFrame:
-    """Adds yhat and its 80 % band to rows with region_id, ds and the regressors."""
+    """Adds yhat and its 80 % band to rows with region_id, ds and the regressors; NULL where a region has no model."""
     terms = F.zip_with(_design(), "weights", lambda value, weight: value * weight)
     level = F.aggregate(terms, F.lit(0.0), lambda total, term: total + term)
     band = F.col("sigma") * BAND_80_PERCENT
     return (
-        days.join(models, "region_id")
+        days.join(models, "region_id", "left")
         .withColumn("level", level)
         .select(
             *days.columns,
@@ -108,7 +108,7 @@ def future_frame(history: DataFrame, days: int = HORIZON_DAYS) -> DataFrame:
     """Future days with each region's last known regressors."""
     known = history.na.drop(subset=list(REGRESSORS))
     last = known.groupBy("region_id").agg(*(F.max_by(r, "ds").alias(r) for r in REGRESSORS))
-    return calendar(history, days).withColumnRenamed("forecast_date", "ds").join(last, "region_id")
+    return calendar(history, days).withColumnRenamed("forecast_date", "ds").join(last, "region_id", "left")
 
 
 def evaluate(models: DataFrame, validation: DataFrame) -> DataFrame:

@@ -10,6 +10,8 @@ from pyspark.ml import PipelineModel
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from quayside.session import path_exists
+
 RUNS = (
     "run_id string, experiment string, run_name string, start_time timestamp, "
     "params map<string,string>, metrics map<string,double>, model_path string"
@@ -50,9 +52,13 @@ def runs(spark: SparkSession, root: str) -> DataFrame:
     return spark.read.schema(RUNS).parquet(f"{root}/runs")
 
 
-def load_latest(spark: SparkSession, root: str, experiment: str) -> PipelineModel | DataFrame:
+def load_latest(spark: SparkSession, root: str, experiment: str, missing_ok: bool = False) -> PipelineModel | DataFrame | None:
     """The model of the run that started last; forecast models are tables."""
+    if missing_ok and not path_exists(spark, f"{root}/runs"):
+        return None
     newest = runs(spark, root).filter(F.col("experiment") == experiment).orderBy(F.desc("start_time")).limit(1).first()
+    if newest is None and missing_ok:
+        return None
     if newest is None:
         raise ValueError(f"no runs of experiment {experiment!r}")
     if newest.params.get("kind") == "table":

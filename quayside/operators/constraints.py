@@ -5,7 +5,7 @@ from __future__ import annotations
 from collections.abc import Sequence
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 from quayside.schema import TABLES, Table, Tables
@@ -30,6 +30,16 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
     return values.join(parent.select(F.col(parent_key).alias("value")), "value", "left_anti")
 
 
+def _not_checkable(some: DataFrame, kind: str, table: str, rule: str) -> DataFrame:
+    """A rule whose table, column or parent is missing: its violations are unknown, so NULL."""
+    return some.sparkSession.range(1).select(
+        F.lit(kind).alias("kind"),
+        F.lit(table).alias("table_name"),
+        F.lit(rule).alias("rule"),
+        F.lit(None).cast("bigint").alias("violations"),
+    )
+
+
 def _violation(kind: str, table: str, rule: str, counted: DataFrame) -> DataFrame:
     total = F.coalesce(F.sum("rows"), F.lit(0)).alias("violations")
     return counted.agg(total).select(
@@ -38,7 +48,7 @@ def _violation(kind: str, table: str, rule: str, counted: DataFrame) -> DataFram
 
 
 def primary_keys(tables: Tables) -> DataFrame:
-    """Per table: key values that are duplicated or NULL."""
+    """Per table: key values that are duplicated or NULL; NULL if the table has no such column."""
     return union(
         [
             _violation(
@@ -51,14 +61,16 @@ def primary_keys(tables: Tables) -> DataFrame:
                 .filter((F.col("n") > 1) | F.col(spec.key).isNull())
                 .select(F.lit(1).alias("rows")),
             )
+            if spec.key in tables[spec.name].columns
+            else _not_checkable(tables[spec.name], "primary_key", spec.name, spec.key)
             for spec in TABLES.values()
-            if spec.name in tables and spec.key in tables[spec.name].columns
+            if spec.name in tables
         ]
     )
 
 
 def foreign_keys(tables: Tables) -> DataFrame:
-    """Per foreign key: rows that point nowhere. NULL points nowhere legally."""
+    """Per foreign key: rows that point nowhere. NULL points nowhere legally. NULL violations if there is no parent table."""
     return union(
         [
             _violation(
@@ -69,29 +81,33 @@ def foreign_keys(tables: Tables) -> DataFrame:
                     tables[spec.name].filter(F.col(column).isNotNull()), column, tables[parent], TABLES[parent].key
                 ),
             )
+            if parent in tables and column in tables[spec.name].columns
+            else _not_checkable(tables[spec.name], "foreign_key", spec.name, f"{column} -> {parent}")
             for spec in TABLES.values()
             for column, parent in spec.parents.items()
-            if spec.name in tables and parent in tables
+            if spec.name in tables
         ]
     )
 
 
 def column_rules(df: DataFrame, spec: Table, kinds: Sequence[str]) -> DataFrame | None:
-    """NOT NULL, length and CHECK rules of one table, in one pass over it."""
+    """NOT NULL, length and CHECK rules of one table, in one pass over it; NULL for those of missing columns."""
     present = set(df.columns)
-    broken = {}
+    unknown = F.lit(None).cast("bigint")
+    counted: dict[str, Column] = {}
     if "not_null" in kinds:
-        broken |= {f"not_null|{c}": F.col(c).isNull() for c in spec.required if c in present}
+        counted |= {f"not_null|{c}": F.count_if(F.col(c).isNull()) if c in present else unknown for c in spec.required}
     if "max_length" in kinds:
-        broken |= {
-            f"max_length|{c} <= {n}": F.char_length(c) > n for c, n in spec.lengths.items() if c in present
+        counted |= {
+            f"max_length|{c} <= {n}": F.count_if(F.char_length(c) > n) if c in present else unknown
+            for c, n in spec.lengths.items()
         }
     if "check" in kinds:
-        broken |= {f"check|{name}": ~F.expr(rule) for name, rule in spec.checks.items()}
-    if not broken:
+        counted |= {f"check|{name}": F.count_if(~F.expr(rule)) for name, rule in spec.checks.items()}
+    if not counted:
         return None
-    counted = df.agg(*(F.count_if(condition).alias(name) for name, condition in broken.items()))
-    return counted.unpivot([], list(broken), "rule", "violations").select(
+    totals = df.agg(*(value.alias(name) for name, value in counted.items()))
+    return totals.unpivot([], list(counted), "rule", "violations").select(
         F.split_part("rule", F.lit("|"), F.lit(1)).alias("kind"),
         F.lit(spec.name).alias("table_name"),
         F.split_part("rule", F.lit("|"), F.lit(2)).alias("rule"),

@@ -7,24 +7,26 @@ from collections.abc import Sequence
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-BROADCAST_ROWS = 300_000
+#: Most bytes of a dimension's inputs, as the optimizer knows them from the files, for a broadcast.
+BROADCAST_BYTES = 32 << 20
 
 
-def fact_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str]) -> DataFrame:
-    """Inner join of two inputs that both grow with the data.
+def fact_join(left: DataFrame, right: DataFrame, keys: str | Sequence[str], how: str = "inner") -> DataFrame:
+    """Join of two inputs that both grow with the data.
 
     Sort-merge spills and lets the adaptive planner split a hot key. The hint keeps the planner from
     broadcasting a fact because its compressed files look small.
     """
-    return left.join(right.hint("merge"), keys)
+    return left.join(right.hint("merge"), keys, how)
 
 
 def lookup(dimension: DataFrame, sized_by: DataFrame | None = None) -> DataFrame:
-    """A dimension to join to: broadcast if it has at most ``BROADCAST_ROWS`` rows.
+    """A dimension to join to: broadcast if its plan reads at most ``BROADCAST_BYTES``, which costs no job.
 
-    Beyond that the planner joins by shuffle and splits hot keys. ``sized_by`` names a cheaper input
-    that has at least as many rows.
+    Beyond that the planner joins by shuffle and splits hot keys. ``sized_by`` names an input with at
+    least as many rows, for a dimension whose own estimate multiplies those of its joins.
     """
     probe = dimension if sized_by is None else sized_by
-    small = probe.limit(BROADCAST_ROWS + 1).count() <= BROADCAST_ROWS
-    return F.broadcast(dimension) if small else dimension
+    # a number of any length, which arrives as an int or as an object of the JVM
+    size = int(str(probe._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+    return F.broadcast(dimension) if size <= BROADCAST_BYTES else dimension

@@ -7,7 +7,7 @@ from datetime import date
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from quayside.functions.amounts import mean, money, sample_stddev
+from quayside.functions.amounts import mean_money, money, sample_stddev
 from quayside.functions.dates import as_date
 from quayside.operators.joins import fact_join
 from quayside.operators.ranking import sort_key, with_ntiles
@@ -27,7 +27,7 @@ def rfm_base(tables: Tables, as_of: str | date | None = None) -> DataFrame:
         F.count(F.lit(1)).alias("frequency"),
         money(spent).alias("monetary"),
         F.datediff(as_date(as_of), F.max("order_date")).alias("recency_days"),
-        mean(money(spent), lines).alias("avg_basket_size"),
+        mean_money(spent, lines).alias("avg_basket_size"),
         sample_stddev(lines, spent, F.sum("amount_squares")).alias("basket_variance"),
     )
 
@@ -69,7 +69,7 @@ def customer_rfm(tables: Tables, as_of: str | date | None = None, higher_is_bett
         "recency_days",
         "frequency",
         F.col("monetary").alias("lifetime_value"),
-        F.round("avg_basket_size", 2).cast("decimal(38,2)").alias("avg_basket_size"),
+        "avg_basket_size",
         *SCORES,
         sum((F.col(s) for s in SCORES[1:]), F.col(SCORES[0])).alias("rfm_total"),
         _segment().alias("segment"),

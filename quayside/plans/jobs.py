@@ -58,6 +58,10 @@ def build_features(
     return paths
 
 
+class ScoringError(RuntimeError):
+    """Raised when some scorers failed; the others have written their tables."""
+
+
 def _parts(df: DataFrame) -> tuple[DataFrame, DataFrame, DataFrame]:
     return tuple(df.filter(F.col("split") == name).drop("split") for name in ("train", "val", "test"))
 
@@ -70,12 +74,16 @@ def _measured(model, validation: DataFrame, test: DataFrame, target: str) -> dic
     }
 
 
+def _importances(spark: SparkSession, model, columns: list[str]) -> dict[str, float]:
+    return {f"importance_{r.feature}": r.importance for r in train.importances(spark, model, columns).collect()}
+
+
 def train_churn(spark: SparkSession, churn: DataFrame, root: str, exclude_leaky: bool = False, **forest) -> list[str]:
     """Logistic baseline, then the forest, which is the newest run and so the one that scores."""
     target = train.CHURN_TARGET
     columns = train.feature_columns(train.CHURN_COLUMNS, target, exclude_leaky)
     rows = train.usable(churn, columns, target)
-    training, validation, test = _parts(materialize(splits.stratified(rows, "customer_id", target)))
+    training, validation, test = _parts(splits.stratified(rows, "customer_id", target))
     fits = {
         "churn_logistic_regression": (lambda: train.fit_logistic(training, columns, target), train.LOGISTIC),
         "churn_random_forest": (
@@ -87,7 +95,10 @@ def train_churn(spark: SparkSession, churn: DataFrame, root: str, exclude_leaky:
     for name, (fit, params) in fits.items():
         model = fit()
         measured = _measured(model, validation, test, target)
-        ids.append(runs.log_run(spark, root, CHURN, name, model, {**params, "features": columns}, measured))
+        if hasattr(model.stages[-1], "featureImportances"):
+            measured |= _importances(spark, model, columns)
+        sizes = {f"{part}_rows": df.count() for part, df in (("train", training), ("val", validation), ("test", test))}
+        ids.append(runs.log_run(spark, root, CHURN, name, model, {**params, **sizes, "features": columns}, measured))
     return ids
 
 
@@ -104,12 +115,12 @@ def train_stockout(
     columns = train.feature_columns(train.STOCKOUT_COLUMNS, target, exclude_leaky)
     rows = train.usable(stockout, columns, target)
     split = splits.positional(rows, ["branch_id", "product_id", "week"]) if positional else splits.temporal(rows, "week")
-    training, validation, test = _parts(materialize(split))
-    model = train.fit_boosted(training, validation, columns, target, **boosted)
-    params = {**train.BOOSTED, **boosted, "features": columns}
-    return runs.log_run(
-        spark, root, STOCKOUT, "stockout_boosted_trees", model, params, _measured(model, validation, test, target)
-    )
+    training, validation, test = _parts(split)
+    model = train.fit_boosted(training, validation, columns, target, rows, **boosted)
+    sizes = {f"{part}_rows": df.count() for part, df in (("train", training), ("val", validation), ("test", test))}
+    params = {**train.BOOSTED, **boosted, **sizes, "features": columns}
+    measured = _measured(model, validation, test, target) | _importances(spark, model, columns)
+    return runs.log_run(spark, root, STOCKOUT, "stockout_boosted_trees", model, params, measured)
 
 
 def train_demand(
@@ -120,12 +131,19 @@ def train_demand(
     train_until: str = TRAIN_UNTIL,
     validation_until: str = VALIDATION_UNTIL,
 ) -> str:
-    """One forecast model per region, checked on the days after the training span."""
+    """One forecast model per region, checked on the days after the training span.
+
+    Trained for one region only, the new run keeps the other regions' models of the run before.
+    """
+    earlier = None if region_id is None else runs.load_latest(spark, root, DEMAND, missing_ok=True)
     if region_id is not None:
         demand = demand.filter(F.col("region_id") == region_id)
     days = demand.withColumn("split", splits.by_date("ds", train_until, validation_until))
     training, validation, _ = _parts(days)
-    fitted = materialize(forecast.fit(training))
+    fitted = forecast.fit(training)
+    if earlier is not None:
+        fitted = fitted.unionByName(earlier.filter(F.col("region_id") != region_id))
+    fitted = materialize(fitted)
     errors = forecast.evaluate(fitted, validation)
     overall = errors.agg(
         F.avg("mape").alias("mean_mape"), F.avg("rmse").alias("mean_rmse"), F.count_if(F.col("status") == "PASS").alias("passed")
@@ -141,18 +159,36 @@ def score_all(
     database: str = "predictions",
     on: str | date | None = None,
 ) -> list[str]:
-    """Scores with the newest models and replaces the prediction tables."""
+    """Scores with the newest models and replaces the prediction tables; a scorer that fails is named at the end."""
     spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
     jobs = {"churn": (score.churn, CHURN), "stockout": (score.stockout, STOCKOUT), "demand": (score.demand, DEMAND)}
-    written = []
+    written, failed = [], {}
     for name, path in feature_paths.items():
         scorer, experiment = jobs[name]
-        scores = scorer(spark.read.parquet(path), runs.load_latest(spark, root, experiment), on)
-        score.refresh(scores, f"{database}.predictions_{name}")
-        written.append(f"{database}.predictions_{name}")
+        try:
+            scores = scorer(spark.read.parquet(path), runs.load_latest(spark, root, experiment), on)
+            score.refresh(scores, f"{database}.predictions_{name}")
+        except Exception as error:  # one scorer must not stop the others
+            failed[name] = error
+        else:
+            written.append(f"{database}.predictions_{name}")
+    if failed:
+        raise ScoringError(f"scored {written}; failed: {failed}") from next(iter(failed.values()))
     return written
 
 
+def features_and_scores(
+    spark: SparkSession,
+    tables: Tables,
+    folder: str,
+    root: str,
+    database: str = "predictions",
+    as_of: str | date | None = None,
+) -> list[str]:
+    """The serving job: all feature sets anew, then every scorer on its own."""
+    return score_all(spark, build_features(tables, folder, as_of=as_of), root, database, as_of)
+
+
 def run_all(
     spark: SparkSession,
     data_dir: str,

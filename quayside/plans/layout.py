@@ -40,10 +40,15 @@ def write_bucketed(tables: Tables, database: str, buckets: int) -> None:
         )
 
 
+#: Partition of the items whose order or order date is missing.
+NO_MONTH = "none"
+
+
 def items_with_month(tables: Tables) -> DataFrame:
-    """Items with the date and month of their order, which they do not carry themselves."""
+    """All items, with the date and month of their order, which they do not carry themselves."""
     orders = tables["orders"].select("order_id", "order_date")
-    return fact_join(tables["order_items"], orders, "order_id").withColumn("order_ym", F.date_format("order_date", "yyyy-MM"))
+    month = F.coalesce(F.date_format("order_date", "yyyy-MM"), F.lit(NO_MONTH))
+    return fact_join(tables["order_items"], orders, "order_id", "left").withColumn("order_ym", month)
 
 
 def write_items_by_month(tables: Tables, table: str) -> None:

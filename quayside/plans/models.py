@@ -4,6 +4,7 @@ from __future__ import annotations
 
 from collections.abc import Callable
 from dataclasses import dataclass
+from functools import partial
 
 from pyspark.sql import DataFrame, SparkSession
 
@@ -25,7 +26,7 @@ LAYERS: dict[str, dict[str, Model]] = {
     "marts": {"mart_monthly_sales": Model(mart_monthly_sales, partition_by="month")},
     "analysis": {
         "analysis_customer_rfm": Model(customer_rfm),
-        "analysis_production_demand_gap": Model(production_demand_gap),
+        "analysis_production_demand_gap": Model(partial(production_demand_gap, ordered=False)),
     },
 }
 

@@ -13,9 +13,10 @@ from quayside.ml import forecast, score, train
 from quayside.operators import constraints, metrics, splits, weights
 from quayside.operators.joins import fact_join
 from quayside.operators.keys import with_file_order_key
-from quayside.plans import analysis, common, features, marts, quality, staging
+from quayside.plans import analysis, common, features, layout, marts, quality, staging
 from quayside.schema import Tables
-from quayside.session import materialize
+from quayside.session import materialize, new_path
+from quayside.sources import csv_load
 from quayside.sources.star import load_star, read_star
 
 # Parameters that fit the star-schema tables, whose last order is of this date.
@@ -102,7 +103,7 @@ def class_rates(t: Tables) -> DataFrame:
     return constraints.union(
         [
             weights.class_rates(df, label).select(F.lit(label).alias("label"), "n_rows", "positives", F.round("positive_rate", 9).alias("positive_rate"))
-            for df, label in ((churn(t), "churned"), (features.stockout_base(t), "is_stockout"))
+            for df, label in ((churn(t), "churned"), (features.stockout_features(t), "is_stockout"))
         ]
     )
 
@@ -268,7 +269,7 @@ def predictions_stockout(t: Tables) -> DataFrame:
     rows = train.usable(features.stockout_features(t), train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET)
     whole = materialize(splits.temporal(rows, "week"))
     older, newer = (whole.filter(F.col("split") == name) for name in ("train", "val"))
-    model = train.fit_boosted(older, newer, train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET)
+    model = train.fit_boosted(older, newer, train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET, whole)
     return score.stockout(whole, model, AS_OF)
 
 
@@ -284,6 +285,67 @@ def predictions_demand(t: Tables) -> DataFrame:
     return score.demand(days, forecast.fit(days), AS_OF)
 
 
+# -- loads, layout, rows without a value -----------------------------------------------------
+
+
+def faulty(t: Tables) -> Tables:
+    """The tables with planted faults, so that checks have something to find."""
+    return {name: t[name] for name in t} | {
+        "order_items": t["order_items"].selectExpr(
+            "case when order_id % 97 = 0 then null when order_id % 89 = 0 then -order_id else order_id end as order_id",
+            "product_id",
+            "case when product_id % 101 = 0 then 0 when product_id % 103 = 0 then null else quantity end as quantity",
+            "unit_price",
+        ),
+        "orders": t["orders"].withColumns(
+            {
+                "order_id": F.expr("case when order_id % 53 = 0 then 53 else order_id end"),
+                "customer_id": F.expr("case when customer_id % 61 = 0 then -customer_id else customer_id end"),
+                "order_date": F.expr("case when order_id % 71 = 0 then null else order_date end"),
+            }
+        ),
+        "daily_production": t["daily_production"].withColumn(
+            "supplier_id", F.expr("case when supplier_id % 7 = 0 then -supplier_id else supplier_id end")
+        ),
+        "customers": t["customers"].withColumn(
+            "customer_name", F.expr("case when customer_id % 11 = 0 then null else customer_name end")
+        ),
+    }
+
+
+def items_by_month(t: Tables) -> DataFrame:
+    """Items without an order, or with an order that does not exist, stay in a month of their own."""
+    tables = {"orders": t["orders"], "order_items": faulty(t)["order_items"]}
+    return layout.items_with_month(tables).groupBy("order_ym").agg(
+        F.count(F.lit(1)).alias("n_items"), F.sum("quantity").alias("units")
+    )
+
+
+def demand_one_region(t: Tables) -> DataFrame:
+    return features.demand_features(t).filter(F.col("region_id") == 2).select("region_id", "ds", "y", "total_units")
+
+
+def csv_customers(t: Tables) -> DataFrame:
+    """The customers written as CSV and loaded again."""
+    spark = t["customers"].sparkSession
+    path = new_path(spark)
+    text = [F.col(c).cast("string") for c in ("customer_name", "branch_id")]
+    empty = F.lit(csv_load.NULL_MARKER)
+    rows = t["customers"].select(text[0], empty.alias("email"), text[1], empty.alias("joined_at"))
+    rows.write.option("header", True).csv(path)
+    return csv_load.read_csv(spark, "customers", path).select("customer_name", "branch_id")
+
+
+def churn_split_null_labels(t: Tables) -> DataFrame:
+    label = F.when(F.col("customer_id") % 10 != 0, F.col("churned")).alias("churned")
+    return splits.stratified(churn(t).select("customer_id", label), "customer_id", "churned")
+
+
+def stockout_time_split_null_weeks(t: Tables) -> DataFrame:
+    week = F.when(F.col("product_id") % 50 != 0, F.col("week"))
+    return splits.temporal(stockout_keys(t).withColumn("week", week), "week")
+
+
 # -- constraints and quality -----------------------------------------------------------------
 
 
@@ -344,6 +406,16 @@ OVER_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     "forecast_gate": forecast_gate,
     "forecast_calendar": forecast_calendar,
     "top1_latest_order": top1_latest_order,
+    "items_by_month": items_by_month,
+    "demand_one_region": demand_one_region,
+    "csv_customers": csv_customers,
+    "churn_split_null_labels": churn_split_null_labels,
+    "stockout_time_split_null_weeks": stockout_time_split_null_weeks,
+    "dq_report_faulty": lambda t: quality.report(faulty(t), MINIMUM_ROWS),
+    "constraint_pk_duplicates_faulty": lambda t: constraints.primary_keys(faulty(t)),
+    "constraint_fk_violations_faulty": lambda t: constraints.foreign_keys(faulty(t)),
+    "constraint_not_null_faulty": lambda t: constraints.columns(faulty(t), ["not_null"]),
+    "constraint_check_faulty": lambda t: constraints.columns(faulty(t), ["check"]),
     "predictions_churn": predictions_churn,
     "predictions_stockout": predictions_stockout,
     "predictions_demand": predictions_demand,

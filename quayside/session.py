@@ -32,6 +32,11 @@ def _file_system(spark: SparkSession, path: str):
     return hadoop.getFileSystem(spark._jsc.hadoopConfiguration()), hadoop
 
 
+def path_exists(spark: SparkSession, path: str) -> bool:
+    system, folder = _file_system(spark, path)
+    return system.exists(folder)
+
+
 def shared_dir(spark: SparkSession) -> str:
     """Folder of this application that every executor can reach.
 

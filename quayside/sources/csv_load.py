@@ -37,10 +37,15 @@ class Loaded:
     seconds: float
 
 
-def read_csv(spark: SparkSession, table: str, path: str, loaded_at: Column | None = None, first_key: int = 1) -> DataFrame:
-    """The file as rows of the table: keys from ``first_key`` on in file order, and the load time."""
+def read_csv(
+    spark: SparkSession, table: str, path: str, loaded_at: Column | None = None, first_key: int = 1, multi_line: bool = False
+) -> DataFrame:
+    """The file as rows of the table: keys from ``first_key`` on in file order, and the load time.
+
+    ``multi_line`` allows line breaks within quotes; such a file cannot be split, so one task reads it.
+    """
     spec = TABLES[table]
-    options = {"header": True, "escape": '"', "mode": "FAILFAST", "encoding": "UTF-8"}
+    options = {"header": True, "escape": '"', "mode": "FAILFAST", "encoding": "UTF-8", "multiLine": multi_line}
     # without a schema only the header of one file is read
     header = spark.read.options(header=True, escape='"').csv(path).columns
     names = iter(spec.columns)

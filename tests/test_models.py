@@ -142,3 +142,34 @@ def test_production_is_credited_to_every_branch_of_the_region(tables):
     assert rows[3, 20, "2024-02-05"].is_stockout == 1
     # demand of a customer without a branch is a row of its own
     assert rows[1, None, "2024-02-05"].demanded == 1
+
+
+def test_mean_is_rounded_once(spark):
+    from pyspark.sql import functions as F
+
+    from quayside.functions.amounts import mean_money
+
+    df = spark.createDataFrame([(2009999, 20001), (-2009999, 20001), (5, 2), (None, 0)], "cents bigint, n bigint")
+    got = [r.m for r in df.select(mean_money(F.col("cents"), F.col("n")).alias("m")).collect()]
+    assert [None if m is None else str(m) for m in got] == ["1.00", "-1.00", "0.03", None]
+
+
+def test_items_without_a_month_stay(spark):
+    from quayside.plans import layout
+
+    items = spark.createDataFrame([(1, 5), (None, 6), (99, 7)], "order_id bigint, quantity int")
+    orders = spark.sql("SELECT 1L order_id, DATE'2001-02-03' order_date")
+    got = layout.items_with_month({"order_items": items, "orders": orders}).collect()
+    assert sorted((r.quantity, r.order_ym) for r in got) == [(5, "2001-02"), (6, "none"), (7, "none")]
+
+
+def test_regions_without_a_model_stay(spark):
+    from quayside.ml import forecast
+
+    days = spark.sql(
+        "SELECT r region_id, date_add(DATE'2001-01-01', CAST(d AS INT)) ds, 10 + d % 7 y, CAST(5.0 AS DOUBLE) avg_unit_price, "
+        "CAST(10 + d % 3 AS DOUBLE) rolling_7d_avg FROM (SELECT explode(sequence(1L, 2L)) r), (SELECT explode(sequence(0L, 59L)) d)"
+    )
+    models = forecast.fit(days.filter("region_id = 1"))
+    got = forecast.predict(models, forecast.future_frame(days, 3)).groupBy("region_id").count().collect()
+    assert sorted((r.region_id, r["count"]) for r in got) == [(1, 3), (2, 3)]

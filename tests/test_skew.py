@@ -43,7 +43,7 @@ def tables(spark):
 
 @pytest.fixture(autouse=True)
 def shuffled(spark, monkeypatch):
-    monkeypatch.setattr(joins, "BROADCAST_ROWS", 0)
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 0)
     before = {key: spark.conf.get(key, None) for key in SETTINGS}
     for key, value in SETTINGS.items():
         spark.conf.set(key, value)
