@@ -40,6 +40,7 @@ def measure(docs: DataFrame, numeric: tuple[str, ...], labels: tuple[str, ...])
             (F.octet_length(text_or_empty()).cast("bigint") + ROW_BYTES).alias("size"),
             F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"),
             F.xxhash64("doc_id", F.crc32(F.encode(text_or_empty(), "UTF-8")), F.when(F.col("doc_id").isNull(), row_id())).alias("spread"),
+            F.lit(0).alias("node"),  # stored, so that the planner sees a column and not a constant to fold joins with
             *(d.alias(f"raw{i}") for i, d in enumerate(raw)),
         )
     )
@@ -118,7 +119,6 @@ def shard(
     spark, dims = docs.sparkSession, 1 + len(numeric) + len(labels)
     rows, count, total = _scaled(measure(docs, numeric, labels), dims)
     shards = shards or max(1, -(-total // target_bytes))
-    rows = rows.withColumn("node", F.lit(0))
     tree = {0: (0, shards)}  # node: its first shard and how many it holds
     while any(k > 1 for _, k in tree.values()):
         wide = {n: k for n, (_, k) in tree.items() if k > 1}
