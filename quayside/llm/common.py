@@ -58,7 +58,7 @@ def unit(hashed: Column) -> Column:
 
 
 def with_offsets(
-    df: DataFrame, group: list[str], key: str, ties: list[str], weight: Column, name: str, rows: int, per_bucket: int = 20_000
+    df: DataFrame, group: list[str], key: str, ties: list[str], weight: Column, name: str, rows: int, per_bucket: int = 2_000
 ) -> DataFrame:
     """Adds the sum of ``weight`` over the rows before each row of its group, in the order of ``key``.
 
