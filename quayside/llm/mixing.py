@@ -175,15 +175,15 @@ def mixed_documents(docs: DataFrame, **options) -> DataFrame:
     docs = stored(docs)
     mixed, rows, _ = mix(docs, **options)
     # a document's pieces are at most max_repeats per block that it touches
-    taken = mixed.join(rows.select("row_id", "size"), "row_id").groupBy(F.col("row_id").alias("__row_id")).agg(
-        F.collect_list(F.struct("slot", "start", "length", "size")).alias("__pieces")
+    taken = mixed.join(rows.select("row_id", "size"), "row_id").groupBy(F.col("row_id").alias("__quayside_of")).agg(
+        F.collect_list(F.struct("slot", "start", "length", "size")).alias("__quayside_pieces")
     )
-    joined = with_row_id(docs).join(taken, F.col(ROW) == F.col("__row_id"))
-    piece = joined.select(*names(docs), F.inline("__pieces").alias("__slot", "__start", "__length", "__size"))
+    joined = with_row_id(docs).join(taken, F.col(ROW) == F.col("__quayside_of"))
+    piece = joined.select(*names(docs), F.inline("__quayside_pieces").alias("__quayside_slot", "__quayside_start", "__quayside_length", "__quayside_size"))
     words = F.regexp_extract_all("text", F.lit(f"{WORD}[\\x20\\x09-\\x0D]*"), F.lit(0))
-    cut = F.array_join(F.slice(words, F.col("__start").cast("int") + 1, F.col("__length").cast("int")), "")
-    text = F.when(F.col("__length") == F.col("__size"), F.col("text")).otherwise(cut)
+    cut = F.array_join(F.slice(words, F.col("__quayside_start").cast("int") + 1, F.col("__quayside_length").cast("int")), "")
+    text = F.when(F.col("__quayside_length") == F.col("__quayside_size"), F.col("text")).otherwise(cut)
     piece = piece.withColumn("text", text)
     if "n_chars" in docs.columns:
         piece = piece.withColumn("n_chars", F.length("text").cast(docs.schema["n_chars"].dataType))
-    return piece.orderBy("__slot", "doc_id", "__start").select(*names(docs))
+    return piece.orderBy("__quayside_slot", "doc_id", "__quayside_start").select(*names(docs))

@@ -110,16 +110,16 @@ def _repeat_words(words: Column) -> Column:
 
 def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
     """Adds the struct ``name``: the base counts, both distances (null where too short) and the verdicts."""
-    refs = references(docs).select(F.col("lang").alias("__lang"), "class_shares", "common", "common_shares")
-    refs = refs.select("__lang", F.struct("class_shares", "common", "common_shares").alias("__ref"))
+    refs = references(docs).select(F.col("lang").alias("__quayside_lang"), "class_shares", "common", "common_shares")
+    refs = refs.select("__quayside_lang", F.struct("class_shares", "common", "common_shares").alias("__quayside_ref"))
     few = refs.count() <= BROADCAST_LANGUAGES
-    rows = docs.join(F.broadcast(refs) if few else refs, F.col("lang").cast("string").eqNullSafe(F.col("__lang"))).drop("__lang")
+    rows = docs.join(F.broadcast(refs) if few else refs, F.col("lang").cast("string").eqNullSafe(F.col("__quayside_lang"))).drop("__quayside_lang")
     text = text_or_empty()
-    rows = rows.withColumn("__words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-    words, n = F.col("__words"), F.size("__words")
+    rows = rows.withColumn("__quayside_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
+    words, n = F.col("__quayside_words"), F.size("__quayside_words")
     lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\f\r"))) > 0)
-    rows = rows.withColumn("__classes", _class_counts(text))
-    classes = F.col("__classes")
+    rows = rows.withColumn("__quayside_classes", _class_counts(text))
+    classes = F.col("__quayside_classes")
     rows = rows.withColumn(
         name,
         F.struct(
@@ -130,11 +130,11 @@ def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
             _repeat_words(words).cast("bigint").alias("n_repeat_words"),
             F.when(
                 F.length(text) >= MIN_CHARS_CLASSES,
-                distance(F.transform(classes, lambda x: x.cast("double") / F.length(text)), F.col("__ref.class_shares")),
+                distance(F.transform(classes, lambda x: x.cast("double") / F.length(text)), F.col("__quayside_ref.class_shares")),
             ).alias("class_distance"),
             F.when(n >= MIN_WORDS_COMMON, _common_distance(words, n)).alias("common_distance"),
         ),
-    ).drop("__words", "__ref", "__classes")
+    ).drop("__quayside_words", "__quayside_ref", "__quayside_classes")
     q = F.col(name)
     failed = (q["n_words"] < MIN_WORDS) | (q["n_repeat_words"] > MAX_REPEAT * q["n_words"])
     far = F.coalesce(q["class_distance"] > MAX_CLASSES, F.lit(False)) | F.coalesce(q["common_distance"] > MAX_COMMON, F.lit(False))
@@ -144,12 +144,12 @@ def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
 def _common_distance(words: Column, n: Column) -> Column:
     def against(counts: Column) -> Column:
         rest = n - F.aggregate(counts, F.lit(0), lambda a, b: a + b)
-        return distance(F.transform(F.concat(counts, F.array(rest)), lambda c: c.cast("double") / n), F.col("__ref.common_shares"))
+        return distance(F.transform(F.concat(counts, F.array(rest)), lambda c: c.cast("double") / n), F.col("__quayside_ref.common_shares"))
 
     short = F.filter(words, lambda w: F.length(w) <= COMMON_LENGTH)
-    return let(short, lambda x: let(F.transform("__ref.common", lambda w: F.size(x) - F.size(F.array_remove(x, w))), against))
+    return let(short, lambda x: let(F.transform("__quayside_ref.common", lambda w: F.size(x) - F.size(F.array_remove(x, w))), against))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
     """The rows that pass, with the columns of ``docs``."""
-    return measure(docs, "__quality").filter("__quality.kept").drop("__quality")
+    return measure(docs, "__quayside_quality").filter("__quayside_quality.kept").drop("__quayside_quality")
