@@ -9,9 +9,9 @@ Bands are geometric with the smallest size ratio that a link allows, so linked s
 neighbouring ones; every class joins in its own band and in the next.
 
 Candidates are verified on the full sets. As a component is asked for, not all pairs of it, the members of
-a bucket are first verified against its smallest member, then against its largest; only buckets that still hold more than one
-component are joined out, and only across components. A family of k near copies so costs about k
-verifications, and no link between components is lost.
+a bucket are first verified against one of them, the one that meets the most others, twice over; only buckets that still hold
+more than one component are joined out, and only across components. A family of k near copies so costs about
+k verifications, and no link between components is lost.
 
 Shingles and sets are compared by 64-bit hashes (two different shingles of a pair of documents of a thousand words
 collide with a probability below 1e-12, two sets among 10**9 with one of about 3 %).
@@ -41,6 +41,8 @@ from quayside.session import materialize
 
 #: Most sets that a task remembers to have met.
 REMEMBERED = 1_000_000
+#: Times that the members of a bucket are verified against a leader before what is left is joined out.
+LEADER_ROUNDS = 2
 #: Bytes of text that are cut into words at a time.
 BATCH_BYTES = 1 << 20
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], "uint64")
@@ -242,6 +244,30 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _kept(_joined(near, sets, "hashes"), linked)
 
 
+def _to_leaders(members: DataFrame) -> DataFrame:
+    """Each member of a bucket with the bucket's leader: the one that meets the most others in all its buckets.
+
+    Of a text and copies that each change it in their own places, this is the text, with which they all link, and not
+    a copy, with which the others may not link.
+    """
+    counted = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
+    weights = members.join(counted, "key").groupBy("v").agg(F.sum("c").alias("w"))
+    leaders = members.join(weights, "v").groupBy("key").agg(F.max(F.struct("w", "v"))["v"].alias("leader"))
+    pairs = members.join(leaders, "key").filter("v <> leader")
+    return pairs.select(F.least("v", "leader").alias("a"), F.greatest("v", "leader").alias("b")).distinct()
+
+
+def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
+    return members.join(roots, F.col("v") == F.col("node"), "left").select("key", "v", F.coalesce("root", "v").alias("root"))
+
+
+def _mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
+    """The members of buckets that still hold more than one component."""
+    placed = _rooted(members, roots)
+    mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
+    return placed.join(mixed, "key", "left_semi").drop("root")
+
+
 def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, row_id, n_shingles, component_id and first_row (the row that stands for its component) for every row."""
     docs = stored(docs)
@@ -255,38 +281,31 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     entries = rows.select("v", F.explode("keys").alias("key"))
     # a class has a large number of keys, so even one of a family that fills the table is a small share of the rows
     bucket = Window.partitionBy("key")
-    members = materialize(
-        entries.withColumns({"low": F.min("v").over(bucket), "high": F.max("v").over(bucket)}).filter("low <> high").distinct()
-    )
+    shared = entries.withColumns({"low": F.min("v").over(bucket), "high": F.max("v").over(bucket)}).filter("low <> high")
+    members = materialize(shared.select("key", "v").distinct())
     wanted = classes.select("row_id", "v").join(members.select("v").distinct(), "v", "left_semi")
     sets = _full_sets(docs, wanted, width)
 
-    def ends(which: str, frame: DataFrame) -> DataFrame:
-        """Each member with the smallest or largest of its bucket."""
-        return frame.select(F.least("v", which).alias("a"), F.greatest("v", which).alias("b")).filter("a <> b").distinct()
-
-    tried = materialize(ends("low", members))
-    links = materialize(_verified(tried, sets, percent))
-    for step in ("high", "all"):
-        roots = components(links)
-        placed = members.join(roots, F.col("v") == F.col("node"), "left").select(
-            "key", "v", "low", "high", F.coalesce("root", "v").alias("root")
-        )
-        mixed = placed.groupBy("key").agg(F.min("root").alias("r1"), F.max("root").alias("r2")).filter("r1 <> r2").select("key")
-        members = materialize(placed.join(mixed, "key", "left_semi").drop("root"))
-        if step == "high":
-            pairs = ends("high", members)
-        else:
-            rooted = members.join(roots, F.col("v") == F.col("node"), "left").withColumn("root", F.coalesce("root", "v"))
-            rooted = rooted.join(classes.select("v", "n"), "v")
-            x = rooted.select("key", F.col("v").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
-            y = rooted.select("key", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
-            near = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
-            pairs = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near).select("a", "b").distinct()
-        pairs = materialize(pairs.join(tried, ["a", "b"], "left_anti"))
-        links = materialize(links.unionAll(_verified(pairs, sets, percent)))
-        tried = tried.unionAll(pairs)
-    labelled = classes.join(components(links), F.col("v") == F.col("node"), "left")
+    roots = links = tried = None
+    for _ in range(LEADER_ROUNDS):
+        pairs = _to_leaders(members)
+        pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
+        tried = pairs if tried is None else tried.unionAll(pairs)
+        new = materialize(_verified(pairs, sets, percent))
+        links = new if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(new)
+        if roots is None or not new.isEmpty():
+            roots = components(links)
+        members = materialize(_mixed_buckets(members, roots))
+    rooted = _rooted(members, roots).join(classes.select("v", "n"), "v")
+    x = rooted.select("key", F.col("v").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
+    y = rooted.select("key", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
+    near = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
+    rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near).select("a", "b").distinct()
+    rest = materialize(rest.join(tried, ["a", "b"], "left_anti"))
+    new = materialize(_verified(rest, sets, percent))
+    if not new.isEmpty():
+        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(new))
+    labelled = classes.join(roots, F.col("v") == F.col("node"), "left")
     labelled = materialize(labelled.select("v", "doc_id", "row_id", F.coalesce("root", "v").alias("root")))
     firsts = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("row_id").alias("first_row"))
     by_class = materialize(labelled.select("v", "root").join(firsts, "root").drop("root"))
