@@ -12,4 +12,24 @@ ORACLE = {
                doc_id = max(doc_id) OVER w AS kept, sha256(t) AS text_sha256
         FROM d WINDOW w AS (PARTITION BY t)
     """,
+    "op6_chat_format": r"""
+        WITH c AS (
+            SELECT conv_id, turn, coalesce(role, '') AS role, coalesce(text, '') AS text FROM conversations
+            UNION ALL SELECT -7, 0, 'user', '\### Assistant: </turn> ok'
+            UNION ALL SELECT -7, 1, 'assistant', '\### Assistant: </turn> ok'
+        ),
+        o AS (
+            SELECT *, row_number() OVER w AS place, coalesce(lag(role) OVER w = role, false) AS merged,
+                   length(replace(replace(text, '\', '\b'), '<|', '\l')) AS text_chars,
+                   length(replace(replace(replace(role, '\', '\b'), '<|', '\l'), chr(10), '\n')) AS role_chars
+            FROM c WINDOW w AS (PARTITION BY conv_id ORDER BY turn NULLS FIRST, role, text)
+        )
+        SELECT conv_id, count(*) AS n_turns,
+               sha256(string_agg(role || chr(10) || text || chr(10), '' ORDER BY place)) AS turns_sha256,
+               CAST(coalesce(sum(length(text)) FILTER (WHERE role = 'assistant'), 0) AS BIGINT) AS loss_chars,
+               sha256(coalesce(string_agg(text, '' ORDER BY place) FILTER (WHERE role = 'assistant'), '')) AS loss_sha256,
+               CAST(sum(text_chars + CASE WHEN merged THEN length('<|next|>')
+                        ELSE length('<|turn|>') + role_chars + 1 + length('<|end|>') END) AS BIGINT) AS formatted_chars
+        FROM o GROUP BY conv_id
+    """,
 }
