@@ -46,16 +46,27 @@ def _design() -> Column:
     )
 
 
-def fit(history: DataFrame) -> DataFrame:
-    """One model row per region. A region's group is one row per day, so the calendar bounds it."""
-    days = history.na.drop(subset=["y", *REGRESSORS])
-    spans = days.groupBy("region_id").agg(
+def spans(days: DataFrame) -> DataFrame:
+    """First and last day and the scales of the regressors, per region."""
+    return days.groupBy("region_id").agg(
         F.min("ds").alias("first_ds"),
         F.max("ds").alias("last_ds"),
         *(F.avg(F.col(r).cast("double")).alias(f"{r}_mean") for r in REGRESSORS),
         *(F.stddev_pop(r).alias(f"{r}_std") for r in REGRESSORS),
     )
-    rows = days.join(spans, "region_id").select(
+
+
+def with_weights(history: DataFrame, weights: list[float], sigma: float) -> DataFrame:
+    """Models of given weights (in the order of the terms) over the spans of a history."""
+    days = history.na.drop(subset=["y", *REGRESSORS])
+    return spans(days).withColumns({"weights": F.array(*(F.lit(float(w)) for w in weights)), "sigma": F.lit(sigma)})
+
+
+def fit(history: DataFrame) -> DataFrame:
+    """One model row per region. A region's group is one row per day, so the calendar bounds it."""
+    days = history.na.drop(subset=["y", *REGRESSORS])
+    scales = spans(days)
+    rows = days.join(scales, "region_id").select(
         F.col("region_id").cast("bigint").alias("region_id"), F.log1p("y").alias("target"), _design().alias("terms")
     )
     bend_terms = slice(2, 2 + CHANGEPOINTS)
@@ -77,7 +88,7 @@ def fit(history: DataFrame) -> DataFrame:
         )
 
     solved = rows.groupBy("region_id").applyInPandas(solve, "region_id bigint, weights array<double>, sigma double")
-    return solved.join(spans, "region_id")
+    return solved.join(scales, "region_id")
 
 
 def predict(models: DataFrame, days: DataFrame) -> DataFrame:
