@@ -1,10 +1,11 @@
 """N-gram Jaccard join by parity sketches.
 
 A document is the set of its distinct word shingles. Equal sets are one class, found by a 64-bit digest. Each class
-has a parity sketch per size band: every shingle toggles one bit of one of t + 1 words of 64 bits. The Hamming distance
-of two sketches is at most the symmetric difference of the sets, and for two sets of the band that link, this is
-at most t; so at least one word of their sketches is equal, and an equi-join on (band, place, word) misses no link. A few spare
-words make sure that not only empty ones are equal.
+has a sketch per size band: every shingle is XORed, as a 64-bit hash, into one of t + 1 words. The number of words in which two
+sketches differ is at most the symmetric difference of the sets, and for two sets of the band that link, this is
+at most t; so at least one word is equal, and an equi-join on (band, place, word) misses no link. A few spare
+words make sure that not only empty ones are equal. What meets there is compared by parity sketches first: two bits for
+every shingle, each toggled by one hash value, so that their Hamming distance is a lower bound of the symmetric difference.
 Bands are geometric with the smallest size ratio that a link allows, so linked sets share a band or lie in
 neighbouring ones; every class joins in its own band and in the next.
 
@@ -124,7 +125,7 @@ def sketch_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
             h = _mixed(hashes ^ _MIX[1])
             place = ((h >> np.uint64(32)) % np.uint64(places)).astype("int64")
             words = np.zeros(places, "uint64")
-            np.bitwise_xor.at(words, place, np.uint64(1) << (h & np.uint64(63)))
+            np.bitwise_xor.at(words, place, hashes)
             key = _mixed(_mixed(words + _MIX[2]) + np.arange(places, dtype="uint64") * _MIX[0] + np.uint64(band) * _MIX[1])
             empty = words == 0
             keys.append(key if empty.sum() > spare else key[~empty])
