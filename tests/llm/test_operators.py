@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 import zlib
 from collections import Counter, defaultdict
 
@@ -10,9 +11,10 @@ import numpy as np
 import public_tokenizers
 import pyarrow as pa
 import pytest
+from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quayside.llm import exact, html_content, license, mixing, ngram_join, packing, quality, tokens
+from quayside.llm import attention, exact, html_content, license, lm, mixing, ngram_join, packing, quality, tokens
 from quayside.llm.html_training import labelled_pages
 from quayside.llm.queries import QUERIES
 from quayside.session import new_path
@@ -205,6 +207,24 @@ def test_lm_learns(spark):
     assert -5 < per_word < -1  # the subword shares alone give about -6
 
 
+def test_lm_windows_cover_training_documents():
+    sizes = np.array([1, 32, 33, 5000, 64, 7])
+    tokens_, train = np.arange(2, 2 + sizes.sum()), np.array([0, 1, 2, 3, 5])
+    text, first, from_ = lm.training_places(sizes, train)
+    starts = np.cumsum(sizes) - sizes
+    _, targets, scored = attention.laid_out(tokens_, starts, sizes, text, first, from_)
+    expected = np.concatenate([tokens_[starts[i] : starts[i] + sizes[i]] for i in train])
+    assert sorted(targets[scored]) == sorted(expected)
+
+
+def test_lm_trains_on_all_windows_of_a_large_corpus(spark):
+    text = " ".join(f"w{i % 97}" for i in range(40_000))
+    blocks = lm.encode(spark.createDataFrame([(0, text)], "doc_id bigint, text string"), public_tokenizers.path("byte_bpe_50k.json"))
+    slots = lm.Slots(lm._subword_counts(blocks))
+    counts, slots.counts = slots.counts.sum(), slots.counts * 10_000  # as if it were a small part of a large corpus
+    assert lm._training_windows(blocks, slots).count() == -(-counts // attention.LENGTH) and lm.ROUNDS == 3
+
+
 def test_quality(spark, folder):
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     same(spark, "op8_quality_rules", folder, columns, brute.quality_base(rows(spark, folder)))
