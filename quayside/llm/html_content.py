@@ -10,7 +10,8 @@ by counting.
 Spark maps the pages in Arrow batches; the trained weights (a few hundred numbers) travel with the task.
 
 Defined cases: a null, empty or text-free page gives an empty text; unclosed and misnested elements are
-closed by the elements that follow; character references are decoded; white space within a block becomes one
+closed by the elements that follow; an unclosed raw-text element other than a script or style is an ordinary one;
+character references are decoded; white space within a block becomes one
 space (a line break element is white space); blocks are joined by one line feed; equal rows give equal rows.
 """
 
@@ -34,10 +35,15 @@ TAG = re.compile(
 NAMED = re.compile(r"\b(?:class|id|role)\s*=\s*(?:\"([^\"]*)\"|'([^']*)'|([^\s>]+))", re.I)
 WORDS = re.compile(r"[a-z]+")
 UNSEEN = re.compile(r"\bhidden\b|display\s*:\s*none", re.I)
-#: Elements whose inside is never text of the page.
-RAW = frozenset("script style title textarea iframe template svg math object select canvas audio video xmp noembed noframes".split())
+#: Elements whose inside is raw text and never text of the page; if one is not closed, only code takes the rest of the page.
+RAW = frozenset("script style title textarea iframe xmp noembed noframes".split())
+CODE = frozenset(("script", "style"))
+#: Elements whose inside follows the rules of XML: '/>' closes, and whatever lies in them is within a line.
+FOREIGN = frozenset(("svg", "math"))
 VOID = frozenset("area base br col embed hr img input link meta param source track wbr".split())
 INLINE = frozenset("a abbr b bdi bdo big cite code data del dfn em font i ins kbd label mark q s samp small span strike strong sub sup time tt u var wbr br img input".split())
+#: Foreign elements whose text is apart from that around them.
+SPACED = frozenset("text title desc mtr mtd mlabeledtr foreignobject".split())
 #: Elements that end an open paragraph, and those that end an open one of their own kind.
 ENDS_P = frozenset(
     "address article aside blockquote center details dialog dir div dl fieldset figcaption figure footer form h1 h2 h3 h4 h5 h6 header hgroup hr main menu nav ol p pre section table ul".split()
@@ -51,7 +57,7 @@ PRIOR = 1.0
 def parse(page: str) -> tuple[list[int], list[str], list[str], list[tuple[int, str | None]]]:
     """Parents, tags and attributes of the elements in page order, and the texts (element, text; None ends a block)."""
     parents, tags, attributes, texts = [-1], ["#root"], [""], []
-    stack, at, size = [0], 0, len(page)
+    foreign, stack, at, size = [False], [0], 0, len(page)
 
     def shut(names: tuple[str, ...] | frozenset, within: tuple[str, ...]) -> None:
         for depth in range(len(stack) - 1, 0, -1):
@@ -62,6 +68,7 @@ def parse(page: str) -> tuple[list[int], list[str], list[str], list[tuple[int, s
             if tag in within:
                 return
 
+    unclosed: set[str] = set()
     while at < size:
         found = TAG.search(page, at)
         end = found.start() if found else size
@@ -74,8 +81,11 @@ def parse(page: str) -> tuple[list[int], list[str], list[str], list[tuple[int, s
         if not name:
             continue
         name = name.lower()
+        within = foreign[stack[-1]] or name in FOREIGN
+        if within and name in SPACED:
+            texts.append((stack[-1], " "))
         if closing:
-            if name not in INLINE:
+            if name not in INLINE and not within:
                 texts.append((0, None))
             for depth in range(len(stack) - 1, 0, -1):
                 if tags[stack[depth]] == name:
@@ -84,21 +94,30 @@ def parse(page: str) -> tuple[list[int], list[str], list[str], list[tuple[int, s
                 if name in INLINE and tags[stack[depth]] not in INLINE:
                     break
             continue
-        if name in ENDS_P:
+        if within:
+            pass
+        elif name in ENDS_P:
             shut(("p",), ("button", "td", "th", "caption"))
         elif name in ENDS:
             shut(tuple(ENDS[name][0].split()), ENDS[name][1])
-        if name not in INLINE:
+        if name not in INLINE and not within:
             texts.append((0, None))
         elif name == "br":
             texts.append((stack[-1], " "))
+        if within and inside.endswith("/"):
+            continue
         if name in RAW:
-            stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
-            at = stop.end() if stop else size
-        elif name not in VOID and not inside.endswith("/"):
+            if name not in unclosed:
+                stop = re.compile(rf"</{name}\b[^>]*>", re.I).search(page, at)
+                if stop or name in CODE:
+                    at = stop.end() if stop else size
+                    continue
+                unclosed.add(name)
+        if name not in VOID and not inside.endswith("/"):
             parents.append(stack[-1])
             tags.append(name)
             attributes.append(inside)
+            foreign.append(within)
             stack.append(len(tags) - 1)
     return parents, tags, attributes, texts
 
@@ -129,6 +148,14 @@ def features(parents: list[int], tags: list[str], attributes: list[str], texts:
     return out
 
 
+def inline(parents: list[int], tags: list[str]) -> list[bool]:
+    """Which elements lie within a line: inline ones, and foreign ones with all that is in them."""
+    foreign = [False] * len(tags)
+    for i in range(1, len(tags)):
+        foreign[i] = foreign[parents[i]] or tags[i] in FOREIGN
+    return [f or tag in INLINE for f, tag in zip(foreign, tags)]
+
+
 class ContentModel:
     """Weights of the elements' own potentials, and log potentials of (parent, child) for blocks and for inline elements."""
 
@@ -142,10 +169,10 @@ class ContentModel:
         counts = {kind: np.full((2, 2), PRIOR) for kind in (False, True)}
         for page in pages:
             parents, tags, attributes, texts = parse(page)
-            y = [int("data-y" in a) for a in attributes]
+            y, kinds = [int("data-y" in a) for a in attributes], inline(parents, tags)
             for i, own in enumerate(features(parents, tags, attributes, texts)):
                 if i:
-                    counts[tags[i] in INLINE][y[parents[i]], y[i]] += 1
+                    counts[kinds[i]][y[parents[i]], y[i]] += 1
                 row = len(labels)
                 labels.append(y[i])
                 for name in ("bias", *own):
@@ -169,13 +196,13 @@ class ContentModel:
         weights, n, exp, log = self.weights, len(tags), math.exp, math.log
         belief = [weights["bias"] + sum(weights.get(name, 0.0) for name in names) for names in own]
         factors = {k: [[exp(x) for x in row] for row in table] for k, table in self.pairs.items()}
-        up = [0.0] * n
+        up, kinds = [0.0] * n, inline(parents, tags)
         for i in range(n - 1, 0, -1):
-            f, b = factors[tags[i] in INLINE], exp(max(-30.0, min(30.0, belief[i])))
+            f, b = factors[kinds[i]], exp(max(-30.0, min(30.0, belief[i])))
             up[i] = log((f[1][1] * b + f[1][0]) / (f[0][1] * b + f[0][0]))
             belief[parents[i]] += up[i]
         for i in range(1, n):
-            f, b = factors[tags[i] in INLINE], exp(max(-30.0, min(30.0, belief[parents[i]] - up[i])))
+            f, b = factors[kinds[i]], exp(max(-30.0, min(30.0, belief[parents[i]] - up[i])))
             belief[i] += log((f[1][1] * b + f[0][1]) / (f[1][0] * b + f[0][0]))
         return belief
 

@@ -273,6 +273,23 @@ def test_html_held_out():
     assert wrong / total < 0.08
 
 
+@pytest.mark.parametrize(
+    "piece",
+    ["<svg viewBox='0 0 1 1'/>", "<math/>", "<svg><title/><style/><path d='M0'/></svg>", "<object data=x>", "<select>", "<video src=x>", "<canvas>", "<audio>", "<template>", "<svg>", "<textarea>", "<iframe src=x>"],
+)
+def test_html_elements_cut_nothing(piece):
+    long = "This sentence belongs to the main article and it is long enough to be told from a menu. " * 4
+    page = f"<html><body><article><p>{long}first</p>{piece}<p>{long}last</p></article></body></html>"
+    got = " ".join(html_content.trained(300).extract(page).split())
+    assert got.endswith(f"{long}last") and f"{long}first" in got
+
+
+def test_html_formulas_stay_in_their_line():
+    long = "This sentence belongs to the main article and it is long enough to be told from a menu. " * 4
+    page = f"<article><p>{long}where <math><mi>x</mi><mo>+</mo><mi>y</mi></math> holds <svg><path d='M0'/></svg> here</p><object><p>{long}fallback</p></object><script>var a;</script></article>"
+    assert html_content.trained(300).extract(page) == f"{long}where x+y holds here\n{long}fallback"
+
+
 def test_html(spark, folder):
     got = QUERIES["op10_html_content"](spark, folder).collect()
     assert len(got) == len(rows(spark, folder, "pages")) and all(r.n_chars == len(r.text) for r in got)
