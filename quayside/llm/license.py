@@ -2,7 +2,7 @@
 
 A text becomes its words in lower case with one space around each. A rule is a regular expression over that
 string with a label, a priority (1 is the strongest), a weight and a keyword. Keywords are looked up first,
-and only the rules of those found run. Overlaps are resolved by containment: a detection goes if another one
+and only the rules of those found run; every form of a rule holds one of its keywords. Overlaps are resolved by containment: a detection goes if another one
 of the same or a stronger priority covers it; of equal intervals the earlier rule stays. Base phrases are
 rules that always stay.
 
@@ -32,7 +32,7 @@ _V2, _V3, _ANY = r"(?: version| v)? ?2(?: 0)?", r"(?: version| v)? ?3(?: 0)?", r
 FAMILIES = (
     ("apache-2.0", rf"apache(?: software)?(?: licen[sc]e)?{_V2}", r"apache 2 0", "apache"),
     ("apache-1.1", r"apache(?: software)?(?: licen[sc]e)?(?: version| v)? 1 [01]", r"apache 1 [01]", "apache"),
-    ("mit", r"(?:mit|expat) licen[sc]e", r"mit(?: 0)?", "mit"),
+    ("mit", r"(?:mit|expat) licen[sc]e", r"mit(?: 0)?", "mit|expat"),
     ("bsd-2-clause", r"(?:simplified bsd|bsd 2 clause|2 clause bsd|freebsd)(?: licen[sc]e)?", r"bsd 2 clause", "bsd"),
     ("bsd-3-clause", r"(?:new bsd|modified bsd|bsd 3 clause|3 clause bsd)(?: licen[sc]e)?", r"bsd 3 clause", "bsd"),
     ("bsd-4-clause", r"(?:original bsd|bsd 4 clause|4 clause bsd)(?: licen[sc]e)?", r"bsd 4 clause", "bsd"),
@@ -52,7 +52,7 @@ FAMILIES = (
     ("cpl", rf"common public licen[sc]e{_ANY}", r"cpl 1 0", "cpl|common public"),
     ("eupl", rf"european union public licen[sc]e{_ANY}", r"eupl 1 [012]", "eupl|european union public"),
     ("artistic", rf"(?:clarified |perl )?artistic licen[sc]e{_ANY}", r"artistic [12] 0", "artistic"),
-    ("isc", r"(?:isc|internet systems consortium) licen[sc]e", r"isc", "isc"),
+    ("isc", r"(?:isc|internet systems consortium) licen[sc]e", r"isc", "isc|internet systems"),
     ("zlib", r"zlib(?: libpng)? licen[sc]e", r"zlib", "zlib"),
     ("boost", rf"boost software licen[sc]e{_ANY}", r"bsl 1 0", "boost|bsl"),
     ("busl", rf"business source licen[sc]e{_ANY}", r"busl 1 1", "business source|busl"),
@@ -79,7 +79,7 @@ FAMILIES = (
     ("cc-by-nd", rf"(?:cc by|creative commons attribution) (?:nd|noderivatives|no derivatives|noderivs){_ANY}", r"cc by nd \d 0", "cc by|creative commons"),
     ("cc-by-sa", rf"(?:cc by|creative commons attribution) (?:sa|sharealike|share alike){_ANY}", r"cc by sa \d 0", "cc by|creative commons"),
     ("cc-by", rf"(?:cc by|creative commons attribution){_ANY}", r"cc by \d 0", "cc by|creative commons"),
-    ("creative-commons", r"creative commons(?: licen[sc]e)?", r"cc pddc", "creative commons"),
+    ("creative-commons", r"creative commons(?: licen[sc]e)?", r"cc pddc", "creative commons|cc pddc"),
 )
 #: How a license is named: priority, weight, the expression around the name (N) or the identifier (I).
 FORMS = (

@@ -48,6 +48,46 @@ def test_license_rules():
     assert len(listed) > 200 and all(r["priority"] <= license.LEVELS and r["keywords"] for r in listed)
 
 
+def forms(expression):
+    """A string for every alternative of a regular expression, without its optional parts."""
+    out = [""]
+    for op, value in expression:
+        op = str(op)
+        if op == "BRANCH":
+            found = [x for branch in value[1] for x in forms(branch)]
+        elif op == "SUBPATTERN":
+            found = forms(value[-1])
+        elif op in ("MAX_REPEAT", "MIN_REPEAT"):
+            found = [a * value[0] for a in forms(value[2])] if value[0] else [""]
+        elif op == "IN":
+            kind, first = value[0][0], value[0][1]
+            found = [chr(v) for _, v in value] if all(str(k) == "LITERAL" for k, _ in value) else [chr(first[0]) if str(kind) == "RANGE" else "1"]
+        elif op == "LITERAL":
+            found = [chr(value)]
+        else:
+            assert op in ("ANY", "ASSERT", "CATEGORY"), op
+            found = ["1" if op != "ASSERT" else " "]
+        out = [a + b for a in out for b in dict.fromkeys(found)]
+    return out
+
+
+def test_license_keywords_cover_every_form():
+    for r in license.rules():
+        lost = [x for x in forms(re._parser.parse(r["regex"])) if not any(k in x for k in r["keywords"])]
+        assert not lost, (r["label"], lost[:3])
+
+
+def test_license_prefilter_loses_nothing(spark):
+    texts = ["expat license", "Internet Systems Consortium License", "SPDX-License-Identifier: CC-PDDC"]
+    assert [spans(spark, x)[0][0] for x in texts] == ["mit", "isc", "creative-commons"]
+    listed = license.rules()
+    norm = license.normalized(F.col("text"))
+    df = spark.createDataFrame([(x,) for x in [*texts, "under the GPL v2, MIT or CC BY 4.0"]], "text string")
+    free = [r | {"keywords": [" "]} for r in listed]
+    got = df.select(license._detections(norm, listed).alias("a"), license._detections(norm, free).alias("b")).collect()
+    assert all(r.a == r.b and r.a for r in got)
+
+
 def spans(spark, text):
     df = spark.createDataFrame([(1, text)], "doc_id int, text string")
     r = license.scan(df).select("license_scan.*").first()
