@@ -7,8 +7,8 @@ thousandth of a bin each time. The driver holds one row per node, at most as man
 rows themselves stay where they are until their places within the shards are counted.
 
 Defined cases: a null text has no bytes, a null in a dimension is a value of its own, an empty table gives
-no rows. Equal metadata is spread by a hash of id and text, so that ties never stop a cut; rows that agree in
-both are spread by their place in the input. A document is never cut, so shards differ by up to its size.
+no rows. Equal metadata is spread by a hash of id, text and place in the input, so that neither ties nor
+repeated rows stop a cut. A document is never cut, so shards differ by up to its size.
 """
 
 from __future__ import annotations
@@ -39,7 +39,7 @@ def measure(docs: DataFrame, numeric: tuple[str, ...], labels: tuple[str, ...])
             F.col("doc_id").cast("bigint").alias("doc_id"),
             (F.octet_length(text_or_empty()).cast("bigint") + ROW_BYTES).alias("size"),
             F.crc32(F.encode(text_or_empty(), "UTF-8")).alias("text_crc32"),
-            F.xxhash64("doc_id", F.crc32(F.encode(text_or_empty(), "UTF-8")), F.when(F.col("doc_id").isNull(), row_id())).alias("spread"),
+            F.xxhash64("doc_id", F.crc32(F.encode(text_or_empty(), "UTF-8")), row_id()).alias("spread"),
             F.lit(0).alias("node"),  # stored, so that the planner sees a column and not a constant to fold joins with
             *(d.alias(f"raw{i}") for i, d in enumerate(raw)),
         )

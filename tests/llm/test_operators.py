@@ -301,6 +301,16 @@ def test_shards(spark, folder):
     assert max(sum(r.size for r in m) for m in shards.values()) <= 1.1 * mean + 2 * largest
 
 
+def test_shards_spread_repeated_rows(spark, tmp_path):
+    docs = [(i, "x" * (900 + i % 200), "a", "en") for i in range(4000)] + [(7, "y" * 1000, "a", "en")] * 2000
+    spark.createDataFrame(docs, "doc_id bigint, text string, source string, lang string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
+    got = QUERIES["op9_kd_shards"](spark, str(tmp_path)).collect()
+    sums = Counter()
+    for r in got:
+        sums[r.shard] += r.size
+    assert len(got) == 6000 and max(sums.values()) <= 1.1 * sum(sums.values()) / 40 + 2 * 1116
+
+
 def test_html_held_out():
     model = html_content.trained()
     wrong = total = 0
