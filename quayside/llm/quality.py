@@ -1,14 +1,17 @@
 """Quality rules: divergence of a document's histograms from those of its language, in Spark expressions only.
 
-Reference, per language, from all rows: the shares of seven classes of characters, and the shares of the language's
-most frequent short words. A document is compared with its language by the Jensen-Shannon distance (base
+Reference, per language: the mean shares of seven classes of characters, and of the language's most frequent short
+words. Each distinct text that passes the base rules counts once and as much as any other, however long it is or often
+it stands there. Texts far from the medians of all of them are left out: first by classes, then by words, and the words
+are chosen anew among those that stay. A document is compared with its language by the Jensen-Shannon distance (base
 2, so 0 to 1) of both histograms. A document is rejected by distance only where it is long enough for the
 histogram to mean something; shorter ones pass that part.
 
 Base rules come first: too few words, or too many words in repeated three-word windows.
 
 Defined cases: a null text has no words; a null language is a language of its own; in a language whose texts hold
-no short word all words count as other; equal rows get equal verdicts; an empty table gives no rows. Work
+no short word all words count as other; a language without a text for its reference has null distances; texts are told
+apart by 64-bit hash in the reference; shares are summed in units of 10**-9, so that no order of rows matters; equal rows get equal verdicts; an empty table gives no rows. Work
 per row is O(n log n) in its words.
 """
 
@@ -48,34 +51,112 @@ def _class_counts(text: Column) -> Column:
     return step(text, CLASSES, [])
 
 
-def references(docs: DataFrame) -> DataFrame:
-    """Stores lang, class_shares, common, common_shares (the last one of all other words): one row per language."""
-    text, lang = text_or_empty(), F.col("lang").cast("string").alias("lang")
-    counted = docs.select(lang, F.transform(_class_counts(text), lambda x: x.cast("double")).alias("c"), F.regexp_count(text, F.lit(WORD)).cast("bigint").alias("n_words"))
-    totals = counted.groupBy("lang").agg(
-        F.sum("n_words").alias("n_words"), *(F.sum(F.col("c")[i]).alias(f"c{i}") for i in range(len(CLASSES) + 1))
+#: Shares are summed as whole numbers of these units; medians are taken to this step.
+UNITS, MEDIAN_STEPS = 10**9, 1_000
+#: More texts with copies than this are joined by shuffle instead of a broadcast.
+BROADCAST_COPIES = 100_000
+
+
+def _base_failed(n_words: Column, n_repeat_words: Column) -> Column:
+    return (n_words < MIN_WORDS) | (n_repeat_words > MAX_REPEAT * n_words)
+
+
+def _texts(docs: DataFrame) -> DataFrame:
+    """Stores lang, class shares, number of words and short words of each distinct text that passes the base rules."""
+    text = text_or_empty()
+    rows = docs.select(F.col("lang").cast("string").alias("lang"), text.alias("text"))
+    rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
+    rows = rows.filter(~let(F.col("words"), lambda w: _base_failed(F.size(w), _repeat_words(w))))
+    rows = rows.select(
+        F.monotonically_increasing_id().alias("id"),
+        "lang",
+        F.xxhash64("text").alias("digest"),
+        F.transform(_class_counts(F.col("text")), lambda x: x.cast("double") / F.length("text")).alias("shares"),
+        F.size("words").alias("n_words"),
+        F.filter("words", lambda w: F.length(w) <= COMMON_LENGTH).alias("short"),
     )
-    chars = sum((F.col(f"c{i}") for i in range(1, len(CLASSES) + 1)), F.col("c0"))
-    shares = F.array(*(F.col(f"c{i}") / F.greatest(chars, F.lit(1.0)) for i in range(len(CLASSES) + 1)))
-    short = F.regexp_extract_all(text, F.lit(rf"(?<![^{SPACE}])[^{SPACE}]{{1,{COMMON_LENGTH}}}(?![^{SPACE}])"), F.lit(0))
-    words = docs.select(lang, F.explode(short).alias("word")).groupBy("lang", "word").agg(F.count(F.lit(1)).alias("n"))
+    every = materialize(rows)
+    copies = every.groupBy("lang", "digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+    copies = materialize(copies.select(F.col("lang").alias("of_lang"), F.col("digest").alias("of_digest"), "first"))
+    few = copies.count() <= BROADCAST_COPIES
+    same = F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("digest") == F.col("of_digest"))
+    joined = every.join(F.broadcast(copies) if few else copies, same, "left")
+    return joined.filter(F.col("first").isNull() | (F.col("id") == F.col("first"))).drop("of_lang", "of_digest", "first", "digest", "id")
+
+
+def _joined(rows: DataFrame, by_lang: DataFrame) -> DataFrame:
+    """``rows`` with the columns of ``by_lang``, which has one row per language."""
+    other = by_lang.withColumnRenamed("lang", "__quayside_lang")
+    few = other.count() <= BROADCAST_LANGUAGES
+    same = F.col("lang").cast("string").eqNullSafe(F.col("__quayside_lang"))
+    return rows.join(F.broadcast(other) if few else other, same, "left").drop("__quayside_lang")
+
+
+def _medians(rows: DataFrame, shares: str) -> DataFrame:
+    """lang, centre: the median of each place of ``shares``, together scaled to 1."""
+    placed = rows.select("lang", F.posexplode(shares).alias("pos", "x"))
+    counted = placed.groupBy("lang", "pos", F.round(F.col("x") * MEDIAN_STEPS).cast("int").alias("step")).agg(F.count(F.lit(1)).alias("n"))
+    place = Window.partitionBy("lang", "pos")  # at most MEDIAN_STEPS + 1 rows
+    run = counted.withColumns({"upto": F.sum("n").over(place.orderBy("step")), "all": F.sum("n").over(place)})
+    middle = run.filter(F.col("upto") * 2 >= F.col("all")).groupBy("lang", "pos").agg(F.min("step").alias("step"))
+    listed = middle.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("pos", "step"))).alias("m"))
+    values = F.transform("m", lambda m: m["step"].cast("double"))
+    total = F.greatest(F.aggregate(values, F.lit(0.0), lambda a, b: a + b), F.lit(1.0))
+    return materialize(listed.select("lang", F.transform(values, lambda v: v / total).alias("centre")))
+
+
+def _near(rows: DataFrame, shares: str, most: float) -> DataFrame:
+    """The rows that lie within ``most`` of the medians of their language."""
+    joined = _joined(rows, _medians(rows, shares))
+    return joined.filter(distance(F.col(shares), F.col("centre")) <= most).drop("centre")
+
+
+def _means(rows: DataFrame, shares: str, name: str) -> DataFrame:
+    """lang, ``name``: the mean of each place of ``shares``."""
+    placed = rows.select("lang", F.posexplode(shares).alias("pos", "x"))
+    sums = placed.groupBy("lang", "pos").agg(F.sum(F.round(F.col("x") * UNITS).cast("bigint")).alias("sum"), F.count(F.lit(1)).alias("n"))
+    listed = sums.groupBy("lang").agg(F.array_sort(F.collect_list(F.struct("pos", "sum", "n"))).alias("m"))
+    return listed.select("lang", F.transform("m", lambda m: m["sum"] / m["n"] / UNITS).alias(name))
+
+
+def _common(rows: DataFrame) -> DataFrame:
+    """lang, common: the short words of the largest mean shares."""
+    unit = F.round(F.lit(float(UNITS)) / F.col("n_words")).cast("bigint")
+    words = rows.select("lang", unit.alias("u"), F.explode("short").alias("word")).groupBy("lang", "word").agg(F.sum("u").alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
-    top = words.withColumn("rank", rank).filter(F.col("rank") <= COMMON).groupBy("lang").agg(
-        F.array_sort(F.collect_list(F.struct("rank", "word", "n"))).alias("top")
-    )
-    joined = totals.alias("t").join(top.alias("w"), F.expr("t.lang <=> w.lang"), "left").select("t.*", "w.top")
-    counts = F.coalesce(F.transform("top", lambda t: t["n"].cast("double")), F.array().cast("array<double>"))
-    in_top = F.aggregate(counts, F.lit(0.0), lambda a, b: a + b)
-    return materialize(
-        joined.select(
-            "lang",
-            shares.alias("class_shares"),
-            F.coalesce(F.transform("top", lambda t: t["word"]), F.array().cast("array<string>")).alias("common"),
-            F.transform(
-                F.concat(counts, F.array(F.col("n_words") - in_top)), lambda c: c / F.greatest(F.col("n_words"), F.lit(1))
-            ).alias("common_shares"),
-        )
-    )
+    top = words.withColumn("rank", rank).filter(F.col("rank") <= COMMON).groupBy("lang")
+    listed = top.agg(F.array_sort(F.collect_list(F.struct("rank", "word"))).alias("top"))
+    return materialize(listed.select("lang", F.transform("top", lambda t: t["word"]).alias("common")))
+
+
+def _common_shares(short: Column, common: Column, n: Column) -> Column:
+    """Shares of the common words among ``n`` words, the last one of all others."""
+
+    def shares(counts: Column) -> Column:
+        rest = n - F.aggregate(counts, F.lit(0), lambda a, b: a + b)
+        return F.transform(F.concat(counts, F.array(rest)), lambda c: c.cast("double") / n)
+
+    return let(short, lambda x: let(F.transform(common, lambda w: F.size(x) - F.size(F.array_remove(x, w))), shares))
+
+
+def _with_shares(rows: DataFrame) -> DataFrame:
+    """Adds common, and common_shares of each row."""
+    none = F.array().cast("array<string>")
+    joined = _joined(rows.drop("common", "common_shares"), _common(rows)).withColumn("common", F.coalesce("common", none))
+    return joined.withColumn("common_shares", _common_shares(F.col("short"), F.col("common"), F.col("n_words")))
+
+
+def references(docs: DataFrame) -> DataFrame:
+    """Stores lang, class_shares, common, common_shares (the last one of all other words): one row per language."""
+    near = _near(_texts(docs), "shares", MAX_CLASSES)
+    near = materialize(near)
+    plain = materialize(_with_shares(_near(_with_shares(near), "common_shares", MAX_COMMON)))
+    common = plain.groupBy("lang").agg(F.first("common").alias("common"))  # equal in all rows of a language
+    classes, shares = _means(plain, "shares", "class_shares"), _means(plain, "common_shares", "common_shares")
+    for i, part in enumerate((classes, shares)):
+        other = part.withColumnRenamed("lang", f"of{i}")
+        common = common.join(other, F.col("lang").eqNullSafe(F.col(f"of{i}"))).drop(f"of{i}")
+    return materialize(common.select("lang", "class_shares", "common", "common_shares"))
 
 
 def distance(p: Column, q: Column) -> Column:
@@ -110,10 +191,8 @@ def _repeat_words(words: Column) -> Column:
 
 def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
     """Adds the struct ``name``: the base counts, both distances (null where too short) and the verdicts."""
-    refs = references(docs).select(F.col("lang").alias("__quayside_lang"), "class_shares", "common", "common_shares")
-    refs = refs.select("__quayside_lang", F.struct("class_shares", "common", "common_shares").alias("__quayside_ref"))
-    few = refs.count() <= BROADCAST_LANGUAGES
-    rows = docs.join(F.broadcast(refs) if few else refs, F.col("lang").cast("string").eqNullSafe(F.col("__quayside_lang"))).drop("__quayside_lang")
+    refs = references(docs).select("lang", F.struct("class_shares", "common", "common_shares").alias("__quayside_ref"))
+    rows = _joined(docs, refs)
     text = text_or_empty()
     rows = rows.withColumn("__quayside_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
     words, n = F.col("__quayside_words"), F.size("__quayside_words")
@@ -129,25 +208,21 @@ def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
             _repeat_words(words).cast("bigint").alias("n_repeat_words"),
             F.when(
-                F.length(text) >= MIN_CHARS_CLASSES,
+                (F.length(text) >= MIN_CHARS_CLASSES) & F.col("__quayside_ref").isNotNull(),
                 distance(F.transform(classes, lambda x: x.cast("double") / F.length(text)), F.col("__quayside_ref.class_shares")),
             ).alias("class_distance"),
-            F.when(n >= MIN_WORDS_COMMON, _common_distance(words, n)).alias("common_distance"),
+            F.when((n >= MIN_WORDS_COMMON) & F.col("__quayside_ref").isNotNull(), _common_distance(words, n)).alias("common_distance"),
         ),
     ).drop("__quayside_words", "__quayside_ref", "__quayside_classes")
     q = F.col(name)
-    failed = (q["n_words"] < MIN_WORDS) | (q["n_repeat_words"] > MAX_REPEAT * q["n_words"])
+    failed = _base_failed(q["n_words"], q["n_repeat_words"])
     far = F.coalesce(q["class_distance"] > MAX_CLASSES, F.lit(False)) | F.coalesce(q["common_distance"] > MAX_COMMON, F.lit(False))
     return rows.withColumn(name, q.withField("base_failed", failed).withField("kept", ~failed & ~far))
 
 
 def _common_distance(words: Column, n: Column) -> Column:
-    def against(counts: Column) -> Column:
-        rest = n - F.aggregate(counts, F.lit(0), lambda a, b: a + b)
-        return distance(F.transform(F.concat(counts, F.array(rest)), lambda c: c.cast("double") / n), F.col("__quayside_ref.common_shares"))
-
     short = F.filter(words, lambda w: F.length(w) <= COMMON_LENGTH)
-    return let(short, lambda x: let(F.transform("__quayside_ref.common", lambda w: F.size(x) - F.size(F.array_remove(x, w))), against))
+    return distance(_common_shares(short, F.col("__quayside_ref.common"), n), F.col("__quayside_ref.common_shares"))
 
 
 def keep_good(docs: DataFrame) -> DataFrame:

@@ -284,6 +284,23 @@ def test_quality_keeps_clean_and_rejects_junk(spark):
     assert sum(clean) == len(clean)
 
 
+def test_quality_reference_counts_copies_of_junk_once(spark):
+    folder = "/root/testdata/sf0.01"
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", "lang").filter("lang = 'en'")
+    labels = {r.doc_id for r in spark.read.parquet(f"{folder}/labels.parquet").collect() if r.quality == 1}
+    long = min((r.text for r in docs.collect() if r.doc_id in labels and len(r.text) > 1500), key=len)
+    junk = " #*$ ".join(long.split())
+
+    def measured(copies):
+        more = spark.createDataFrame([(10**9 + i, junk, "en") for i in range(copies)], docs.schema)
+        return {r.doc_id: r for r in quality.measure(docs.union(more)).select("doc_id", "quality.*").collect()}
+
+    one, many = measured(1), measured(docs.count() // 2)
+    assert all(r == many[i] for i, r in one.items())  # a third of the rows moves no distance
+    assert all(r.kept for i, r in many.items() if i in labels and not r.base_failed)
+    assert not any(r.kept for i, r in many.items() if i >= 10**9)
+
+
 def test_shards(spark, folder):
     got = QUERIES["op9_kd_shards"](spark, folder).collect()
     expected = Counter()
