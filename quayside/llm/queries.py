@@ -6,9 +6,11 @@ import public_tokenizers
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.llm import chat, exact, html_content, kdtree, license, lm, mixing, ngram_join, packing, quality
+from quayside.llm import alignment, chat, exact, fim, html_content, kdtree, license, lm, mixing, ngram_join, packing, quality, url_rules
+from quayside.llm.common import local_rows
 
-PACKING_TOKENIZER = LM_TOKENIZER = "byte_bpe_50k.json"
+PACKING_TOKENIZER = LM_TOKENIZER = BYTE_TOKENIZER = "byte_bpe_50k.json"
+PIECE_TOKENIZER = "piece_bpe_32k.model"
 
 
 def read(spark: SparkSession, folder: str, table: str) -> DataFrame:
@@ -108,4 +110,43 @@ def op10_html_content(spark: SparkSession, folder: str) -> DataFrame:
     return pages.select("page_id", "url", "text", F.length("text").cast("bigint").alias("n_chars"))
 
 
-QUERIES = {f.__name__: f for f in (op1_license_scan, op2_exact_dedup, op3_ngram_join, op4_source_mix, op5_packing, op6_chat_format, op7_lm_scores, op8_quality_rules, op9_kd_shards, op10_html_content)}
+def op11_token_alignment(spark: SparkSession, folder: str) -> DataFrame:
+    paths = [public_tokenizers.path(x) for x in (BYTE_TOKENIZER, PIECE_TOKENIZER)]
+    aligned = alignment.align(read(spark, folder, "documents").select("doc_id", "text"), *paths)
+    counts = ("n_a", "n_b", "n_groups", "n_links")
+    digest = F.when(F.col("alignment.n_a") == 0, "").otherwise(F.sha2(F.col("alignment.groups"), 256))
+    narrow = aligned.select(
+        "doc_id", *(F.col(f"alignment.{c}").alias(c) for c in counts), digest.alias("groups_sha256"), F.struct("alignment.pairs").alias("alignment")
+    )
+    return alignment.with_counts(narrow).select("doc_id", *counts, "n_best", "count_sum", "groups_sha256")
+
+
+#: Rules of the query: host, path, action.
+URL_RULES = [("net", "/", "block"), ("example.net", "/en/", "allow"), ("example.com", "/de/", "block"), ("org", "/fr/", "allow")]
+
+
+def op12_url_filter(spark: SparkSession, folder: str) -> DataFrame:
+    rules = local_rows(spark, URL_RULES, "host string, path string, action string")
+    return url_rules.judge(read(spark, folder, "pages").select("page_id", "url"), rules).select("page_id", "url_filter.*")
+
+
+def op13_fill_in_middle(spark: SparkSession, folder: str) -> DataFrame:
+    rows = fim.transform(read(spark, folder, "documents").select("doc_id", "text"))
+    return rows.select(
+        "doc_id",
+        "fim.n",
+        "fim.form",
+        "fim.prefix_chars",
+        "fim.middle_chars",
+        F.sha2("fim.output", 256).alias("output_sha256"),
+        F.sha2(fim.restored(F.col("fim.output"), F.col("fim.form")), 256).alias("restored_sha256"),
+    )
+
+
+QUERIES = {
+    f.__name__: f
+    for f in (
+        op1_license_scan, op2_exact_dedup, op3_ngram_join, op4_source_mix, op5_packing, op6_chat_format, op7_lm_scores,
+        op8_quality_rules, op9_kd_shards, op10_html_content, op11_token_alignment, op12_url_filter, op13_fill_in_middle,
+    )
+}

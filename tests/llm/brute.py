@@ -134,3 +134,109 @@ def quality_base(rows):
         symbols = len(re.findall(r"[#*$%&|<>]", text))
         out.append((r["doc_id"], len(w), sum(map(len, w)), symbols, len(lines) - len(set(lines)), len(covered), failed))
     return out
+
+
+def url_parts(url):
+    before, found, rest = (url or "").partition("://")
+    host = re.match(r"[^/?#]*", rest if found else "")[0]
+    return host.translate(LOWER), re.match(r"[^?#]*", rest[len(host) :] if found else "")[0]
+
+
+def url_verdict(url, rules, default="allow"):
+    """(host, path, rule, verdict) over all rules, one by one."""
+    host, path = url_parts(url)
+    best = None
+    for rule_host, rule_path, action in rules:
+        if rule_host is None:
+            continue
+        rule_host, rule_path = rule_host.translate(LOWER), rule_path or ""
+        if (host == rule_host or host.endswith("." + rule_host)) and path.startswith(rule_path):
+            rank = (len(rule_host) + len(rule_path), len(rule_host), rule_host + rule_path, action == "block")
+            best = max(best, rank) if best else rank
+    return host, path, best[2] if best else None, ("block" if best[3] else "allow") if best else default
+
+
+def fill_in_middle(doc_id, text, seed=1, percent=90, spm_percent=20):
+    """(n, form, prefix code points, middle code points, output)."""
+    text = text or ""
+    w = re.findall(r"[A-Za-z]+|[^A-Za-z]", text)
+    digest = hashlib.sha256(f"{seed}:{'' if doc_id is None else doc_id}".encode()).hexdigest()
+    h = [int(digest[8 * i : 8 * i + 8], 16) for i in range(4)]
+    i, j = sorted(x % (len(w) + 1) for x in h[:2])
+    p, m, s = ("".join(x) for x in (w[:i], w[i:j], w[j:]))
+    if not text or any(x in text for x in ("<P>", "<S>", "<M>")) or h[2] % 100 >= percent:
+        return len(w), "plain", None, None, text
+    if h[3] % 100 < spm_percent:
+        return len(w), "spm", len(p), len(m), f"<S>{s}<P>{p}<M>{m}"
+    return len(w), "psm", len(p), len(m), f"<P>{p}<S>{s}<M>{m}"
+
+
+class Aligner:
+    """Whole texts through both tokenizers, token by token."""
+
+    def __init__(self, path_a, path_b):
+        from sentencepiece import SentencePieceProcessor
+        from tokenizers import Tokenizer
+
+        self.a, self.b = Tokenizer.from_file(path_a), SentencePieceProcessor(model_file=path_b)
+        self.a.encode_special_tokens = True
+        printable = [*range(33, 127), *range(161, 173), *range(174, 256)]
+        rest = [i for i in range(256) if i not in printable]
+        self.byte = {chr(i): i for i in printable} | {chr(256 + k): i for k, i in enumerate(rest)}
+
+    def tokens(self, text):
+        ids_a = self.a.encode(" " + text, add_special_tokens=False).ids
+        ids_b = self.b.encode(text)
+        bytes_a = [bytes(self.byte[c] for c in self.a.id_to_token(i)) for i in ids_a]
+        pieces = [self.b.id_to_piece(i) for i in ids_b]
+        bytes_b = [bytes([int(p[3:5], 16)]) if self.b.is_byte(i) else p.replace("▁", " ").encode() for i, p in zip(ids_b, pieces)]
+        whole = (" " + text).encode()
+        if not text or b"".join(bytes_a) != whole or b"".join(bytes_b) != whole:
+            return [], []
+        return [list(zip(ids, spans(parts))) for ids, parts in ((ids_a, bytes_a), (ids_b, bytes_b))]
+
+    def align(self, text):
+        """n_a, n_b, groups string, links (a, b) of all overlapping occurrences."""
+        a, b = self.tokens(text or "")
+        cuts = {s[1] for _, s in a} & {s[1] for _, s in b}
+        groups, taken = [], 0
+        for i, s in a:
+            groups += [] if groups and not groups[-1][2] else [[[], [], False]]
+            groups[-1][0].append(i)
+            while s[1] in cuts and not groups[-1][2]:
+                j, t = b[taken]
+                groups[-1][1].append(j)
+                taken, groups[-1][2] = taken + 1, t[1] == s[1]
+        groups = ["|".join(",".join(map(str, side)) for side in g[:2]) for g in groups]
+        links = [(i, j) for i, s in a for j, t in b if s[0] < t[1] and t[0] < s[1]] if len(a) < 400 else overlapping(a, b)
+        return len(a), len(b), ";".join(groups), links
+
+
+def spans(parts):
+    out, at = [], 0
+    for p in parts:
+        out.append((at, at + len(p)))
+        at += len(p)
+    return out
+
+
+def overlapping(a, b):
+    """Links by bytes: which tokens hold each byte."""
+    owner_a = [k for k, (_, s) in enumerate(a) for _ in range(*s)]
+    owner_b = [k for k, (_, s) in enumerate(b) for _ in range(*s)]
+    return [(a[i][0], b[j][0]) for i, j in sorted(set(zip(owner_a, owner_b)))]
+
+
+def alignment(rows, aligner):
+    done = [aligner.align(r["text"]) for r in rows]
+    docs = Counter(pair for *_, links in done for pair in set(links))
+    most = defaultdict(int)
+    for (a, _), n in docs.items():
+        most[a] = max(most[a], n)
+    return [
+        (
+            r["doc_id"], n_a, n_b, len(groups.split(";")) if groups else 0, len(links), sum(docs[p] == most[p[0]] for p in links),
+            sum(docs[p] for p in links), hashlib.sha256(groups.encode()).hexdigest() if groups else "",
+        )
+        for r, (n_a, n_b, groups, links) in zip(rows, done)
+    ]
