@@ -9,13 +9,14 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 
-from quayside.llm import tokens
 from quayside.llm.tokens import _BREAK, _coded, ragged
 
 #: Stands for a space in pieces.
 SPACE = "▁"
 #: Texts that go to the piece tokenizer as a whole: more than one space at a time, or what the splitting uses.
 _IRREGULAR = rf"  |^ |{_BREAK}|{SPACE}"
+#: Most units whose ids a worker remembers.
+REMEMBERED = 200_000
 
 
 @dataclass
@@ -82,7 +83,7 @@ class Pieces:
         new = [i for i, ids in enumerate(found) if ids is None]
         for i, ids in zip(new, self._encode([units[i] for i in new])):
             found[i] = ids
-            if len(self.known) < tokens.REMEMBERED:
+            if len(self.known) < REMEMBERED:
                 self.known[units[i]] = ids
         return found
 
