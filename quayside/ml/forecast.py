@@ -3,7 +3,7 @@
 A decomposable model (Taylor & Letham, "Forecasting at scale", 2018) on the logarithm of demand,
 which makes the seasons multiplicative: a piecewise linear trend, weekly and yearly Fourier terms and
 two regressors. Design rows and predictions are built-in expressions; only the small ridge solve per
-region runs in Python, over that region's daily rows.
+region runs in Python, over that region's daily rows. ``decomposed`` fits the same terms on the demand itself.
 """
 
 from __future__ import annotations

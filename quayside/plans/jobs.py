@@ -3,13 +3,14 @@
 from __future__ import annotations
 
 from collections.abc import Mapping
+from dataclasses import asdict, replace
 from datetime import date
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from quayside.ml import forecast, runs, score, train
-from quayside.operators import splits
+from quayside.ml import boosting, decomposed, runs, score, train
+from quayside.operators import splits, weights
 from quayside.plans import features, layout, models, quality
 from quayside.schema import Tables
 from quayside.session import materialize
@@ -110,17 +111,22 @@ def train_stockout(
     exclude_leaky: bool = False,
     **boosted,
 ) -> str:
-    """Boosted trees on the older weeks; ``positional`` splits by branch and product order instead."""
+    """Boosted trees on the older weeks; ``positional`` splits by branch and product order instead.
+
+    ``boosted`` replaces some of ``boosting.Settings``.
+    """
     target = train.STOCKOUT_TARGET
     columns = train.feature_columns(train.STOCKOUT_COLUMNS, target, exclude_leaky)
     rows = train.usable(stockout, columns, target)
     split = splits.positional(rows, ["branch_id", "product_id", "week"]) if positional else splits.temporal(rows, "week")
     training, validation, test = _parts(split)
-    model = train.fit_boosted(training, validation, columns, target, rows, **boosted)
+    settings = replace(boosting.Settings(), **boosted)
+    scale = weights.scale_pos_weight(rows, target).first().scale_pos_weight or 1.0
+    model = boosting.fit(training, validation, columns, target, scale, settings, ["branch_id", "product_id", "week"])
     sizes = {f"{part}_rows": df.count() for part, df in (("train", training), ("val", validation), ("test", test))}
-    params = {**train.BOOSTED, **boosted, **sizes, "features": columns}
+    params = {"kind": "table", **asdict(settings), "scale_pos_weight": scale, "kept_trees": len(model.trees), **sizes, "features": columns}
     measured = _measured(model, validation, test, target) | _importances(spark, model, columns)
-    return runs.log_run(spark, root, STOCKOUT, "stockout_boosted_trees", model, params, measured)
+    return runs.log_run(spark, root, STOCKOUT, "stockout_boosted_trees", model.to_rows(spark), params, measured)
 
 
 def train_demand(
@@ -140,11 +146,11 @@ def train_demand(
         demand = demand.filter(F.col("region_id") == region_id)
     days = demand.withColumn("split", splits.by_date("ds", train_until, validation_until))
     training, validation, _ = _parts(days)
-    fitted = forecast.fit(training)
+    fitted = decomposed.fit(training)
     if earlier is not None:
         fitted = fitted.unionByName(earlier.filter(F.col("region_id") != region_id))
     fitted = materialize(fitted)
-    errors = forecast.evaluate(fitted, validation)
+    errors = decomposed.evaluate(fitted, validation)
     overall = errors.agg(
         F.avg("mape").alias("mean_mape"), F.avg("rmse").alias("mean_rmse"), F.count_if(F.col("status") == "PASS").alias("passed")
     ).first()

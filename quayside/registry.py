@@ -9,7 +9,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from quayside.ml import forecast, score, train
+from quayside.ml import boosting, decomposed, forecast, score, train
 from quayside.operators import constraints, metrics, splits, weights
 from quayside.operators.joins import fact_join
 from quayside.operators.keys import with_file_order_key
@@ -269,15 +269,17 @@ def predictions_stockout(t: Tables) -> DataFrame:
     rows = train.usable(features.stockout_features(t), train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET)
     whole = materialize(splits.temporal(rows, "week"))
     older, newer = (whole.filter(F.col("split") == name) for name in ("train", "val"))
-    model = train.fit_boosted(older, newer, train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET, whole)
+    scale = weights.scale_pos_weight(whole, train.STOCKOUT_TARGET).first().scale_pos_weight or 1.0
+    keys = ["branch_id", "product_id", "week"]
+    model = boosting.fit(older, newer, train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET, scale, identified_by=keys)
     return score.stockout(whole, model, AS_OF)
 
 
 def forecast_validation(t: Tables) -> DataFrame:
     days = materialize(features.demand_features(t))
     days = days.withColumn("split", splits.by_date("ds", TRAIN_UNTIL, VALIDATION_UNTIL))
-    models = forecast.fit(days.filter(F.col("split") == "train"))
-    return forecast.evaluate(models, days.filter(F.col("split") == "val"))
+    models = decomposed.fit(days.filter(F.col("split") == "train"))
+    return decomposed.evaluate(models, days.filter(F.col("split") == "val"))
 
 
 #: Weights of a forecast without a fit: level, trend, first bend, first weekly sine, first yearly cosine, both regressors.
@@ -289,12 +291,12 @@ def forecast_given_weights(t: Tables) -> DataFrame:
     days = materialize(demand_features(t))
     models = forecast.with_weights(days, [GIVEN_WEIGHTS.get(i, 0.0) for i in range(55)], GIVEN_SIGMA)
     columns = ["predicted_orders", "yhat_lower", "yhat_upper"]
-    return rounded(score.demand(days, models, AS_OF), 3, *columns)
+    return rounded(score.demand(days, models, AS_OF, kind=forecast), 3, *columns)
 
 
 def predictions_demand(t: Tables) -> DataFrame:
     days = materialize(features.demand_features(t))
-    return score.demand(days, forecast.fit(days), AS_OF)
+    return score.demand(days, materialize(decomposed.fit(days)), AS_OF)
 
 
 # -- loads, layout, rows without a value -----------------------------------------------------

@@ -128,7 +128,7 @@ def test_everything_from_files_to_models(spark, csv_dir, tmp_path):
         "2001-08-01",
         ("2000-06-30", "2001-03-31"),
         {"numTrees": 3, "maxDepth": 3},
-        {"maxIter": 2, "maxDepth": 3},
+        {"trees": 2, "depth": 3},
     )
     star, raw = load_star(spark, "/root/testdata/sf0.001"), layout.read_tables(spark, "full")
     assert {n: df.count() for n, df in raw.items()} == {n: df.count() for n, df in star.items()}
