@@ -15,6 +15,7 @@ from quayside.plans import features, layout, models, quality
 from quayside.schema import Tables
 from quayside.session import materialize
 from quayside.sources.csv_load import Loaded, load_tables
+from quayside.sources.snapshot import Snapshot
 
 # Experiment names, and the last days of the training and validation spans.
 CHURN, STOCKOUT, DEMAND = "customer_churn", "stockout_risk", "demand_forecasting"
@@ -28,10 +29,20 @@ def ingest(
     database: str = "raw",
     minimums: Mapping[str, int] = quality.MINIMUM_ROWS,
     marts_database: str = "marts",
+    store: str | None = None,
 ) -> list[Loaded]:
-    """Schema, load, quality gate, staging, marts, data tests, statistics; stops at the first failure."""
-    layout.create_tables(spark, database)
-    loaded = load_tables(spark, data_dir, database)
+    """Schema, load, quality gate, staging, marts, data tests, statistics; stops at the first failure.
+
+    With a ``store`` (a folder) all tables are loaded there in one transaction, and the database names its newest
+    state; without one each table is loaded into the database by itself.
+    """
+    if store is None:
+        layout.create_tables(spark, database)
+        loaded = load_tables(spark, data_dir, database)
+    else:
+        snapshot = Snapshot(spark, store)
+        loaded = snapshot.load(data_dir)
+        snapshot.register(database)
     tables = layout.read_tables(spark, database)
     quality.gate(tables, minimums)
     models.build(spark, tables, "staging")

@@ -22,6 +22,8 @@ from quayside.sources.star import load_star, read_star
 # Parameters that fit the star-schema tables, whose last order is of this date.
 AS_OF = "2001-08-01"
 TRAIN_UNTIL, VALIDATION_UNTIL = "2000-12-31", "2001-03-31"
+#: A tree takes some jobs, so the query trains a short ensemble; the job's has up to 500.
+STOCKOUT_TREES = 10
 MINIMUM_ROWS = quality.MINIMUM_ROWS | {
     "customers": 1_000,
     "orders": 10_000,
@@ -271,7 +273,8 @@ def predictions_stockout(t: Tables) -> DataFrame:
     older, newer = (whole.filter(F.col("split") == name) for name in ("train", "val"))
     scale = weights.scale_pos_weight(whole, train.STOCKOUT_TARGET).first().scale_pos_weight or 1.0
     keys = ["branch_id", "product_id", "week"]
-    model = boosting.fit(older, newer, train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET, scale, identified_by=keys)
+    settings = boosting.Settings(trees=STOCKOUT_TREES)
+    model = boosting.fit(older, newer, train.STOCKOUT_COLUMNS, train.STOCKOUT_TARGET, scale, settings, keys)
     return score.stockout(whole, model, AS_OF)
 
 
