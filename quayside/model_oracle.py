@@ -62,8 +62,7 @@ areas AS (SELECT prefix, SUM(pos) AS positives, SUM(neg) AS negatives,
 bests AS (SELECT *, (SELECT MIN(b.prefix) FROM areas b WHERE b.prefix <= a.prefix
     AND b.auc = (SELECT MAX(c.auc) FROM areas c WHERE c.prefix <= a.prefix)) AS best FROM areas a)"""
 
-# the columns that the features have besides are left out by name
-MODEL_ORACLE_TREES = """CASE WHEN gap >= 0 THEN -0.5 WHEN demanded >= 30 THEN 0.75 ELSE 0.25 END
+TREES = """CASE WHEN gap >= 0 THEN -0.5 WHEN demanded >= 30 THEN 0.75 ELSE 0.25 END
     + CASE WHEN demand_trend >= 0.5 THEN 0.125 ELSE -0.125 END"""
 
 ORACLE: dict[str, str] = {
@@ -80,7 +79,7 @@ ORACLE: dict[str, str] = {
     "predictions_stockout_given": with_ctes(
         f"""SELECT branch_id, product_id, week, ROUND(1 / (1 + EXP(-m)), 9) AS stockout_probability,
         CAST(CASE WHEN 1 / (1 + EXP(-m)) >= 0.5 THEN 1 ELSE 0 END AS BIGINT) AS risk_label, {AS_OF} AS prediction_date
-        FROM (SELECT *, CAST({MODEL_ORACLE_TREES} AS DOUBLE) AS m FROM stockout_features
+        FROM (SELECT *, CAST({TREES} AS DOUBLE) AS m FROM stockout_features
             WHERE fill_rate_rolling IS NOT NULL AND demand_trend IS NOT NULL) s""",
         STOCKOUT,
     ),
@@ -117,6 +116,10 @@ scales AS (SELECT region_id, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(MAX(y
     "model_store": with_ctes(
         "SELECT region_id, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(MAX(y) AS DOUBLE) AS y_scale FROM demand_features GROUP BY region_id", DEMAND
     ),
+    "clustered_lookup": with_ctes(
+        """SELECT order_id, customer_id, order_date FROM sc_orders
+        WHERE customer_id BETWEEN 20 AND 60 AND order_date >= DATE '1999-01-01' AND order_date < DATE '2000-01-01'"""
+    ),
     "csv_products": """SELECT p_name AS product_name, p_type AS category,
         CAST(CAST(p_retailprice AS DECIMAL(12,2)) + CAST(0.01 AS DECIMAL(12,2)) AS DOUBLE) AS unit_cost,
         TIMESTAMP '2001-08-01 12:00:00' AS created_at, TRUE AS stamped_now FROM part""",

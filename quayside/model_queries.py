@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quayside.ml import boosting, decomposed, runs, score, train
 from quayside.ml.boosting import Boosted, Tree
 from quayside.operators.staged import best_prefix, running, staged_auc
-from quayside.plans import features, jobs, models, quality
+from quayside.plans import clustering, features, jobs, models, quality
 from quayside.registry import AS_OF, Query, activity_score, churn, demand_features, over_tables, portable, rounded
 from quayside.schema import TABLES, Tables
 from quayside.session import materialize, new_path
@@ -185,6 +185,14 @@ def model_store(t: Tables) -> DataFrame:
     return runs.load_latest(spark, root, "q")
 
 
+def clustered_lookup(t: Tables) -> DataFrame:
+    """Some customers' orders of a year, from the table laid out for such reads."""
+    spark = t["orders"].sparkSession
+    (name,) = clustering.write_clustered(t, _database(spark), 16, names=["orders"])
+    rows = spark.table(name).filter("customer_id BETWEEN 20 AND 60 AND order_date >= DATE'1999-01-01' AND order_date < DATE'2000-01-01'")
+    return rows.select("order_id", "customer_id", "order_date")
+
+
 def write_csvs(t: Tables, folder: str) -> None:
     """The tables as CSV files in the order of their keys, which the load assigns from 1 on."""
 
@@ -218,7 +226,7 @@ OVER_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
     for f in (
         boosted_histogram, boosted_first_cuts, boosted_importances, predictions_stockout_given, boosted_early_stop,
         predictions_churn_flag_forest, predictions_churn_flag_logistic, decomposed_given_weights, forecast_bands_of_paths,
-        feature_files, refreshed_scores, catalog_staging_view, catalog_mart_table, model_store,
+        feature_files, refreshed_scores, catalog_staging_view, catalog_mart_table, model_store, clustered_lookup,
     )
 }
 
