@@ -120,6 +120,16 @@ scales AS (SELECT region_id, MIN(ds) AS first_ds, MAX(ds) AS last_ds, CAST(MAX(y
         """SELECT order_id, customer_id, order_date FROM sc_orders
         WHERE customer_id BETWEEN 20 AND 60 AND order_date >= DATE '1999-01-01' AND order_date < DATE '2000-01-01'"""
     ),
+    "common_values": with_ctes(
+        """SELECT 'orders' AS table_name, 'status' AS "column", CAST(SUM(COUNT(*)) OVER () AS BIGINT) AS n_rows, CAST(0 AS BIGINT) AS n_nulls,
+        status AS value, COUNT(*) AS n FROM sc_orders GROUP BY status
+        UNION ALL SELECT 'customers', 'branch_id', CAST(SUM(COUNT(*)) OVER () AS BIGINT), CAST(0 AS BIGINT),
+        CAST(branch_id AS VARCHAR), COUNT(*) FROM sc_customers GROUP BY branch_id"""
+    ),
+    "join_salted_buckets": with_ctes(
+        """SELECT i.order_id, product_id, CAST(quantity AS BIGINT) AS quantity, customer_id
+        FROM sc_items i JOIN sc_orders o ON i.order_id = o.order_id"""
+    ),
     "csv_products": """SELECT p_name AS product_name, p_type AS category,
         CAST(CAST(p_retailprice AS DECIMAL(12,2)) + CAST(0.01 AS DECIMAL(12,2)) AS DOUBLE) AS unit_cost,
         TIMESTAMP '2001-08-01 12:00:00' AS created_at, TRUE AS stamped_now FROM part""",

@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from quayside.ml import boosting, decomposed, runs, score, train
 from quayside.ml.boosting import Boosted, Tree
 from quayside.operators.staged import best_prefix, running, staged_auc
-from quayside.plans import clustering, features, jobs, models, quality
+from quayside.plans import clustering, distribution, features, jobs, models, quality
 from quayside.registry import AS_OF, Query, activity_score, churn, demand_features, over_tables, portable, rounded
 from quayside.schema import TABLES, Tables
 from quayside.session import materialize, new_path
@@ -193,6 +193,20 @@ def clustered_lookup(t: Tables) -> DataFrame:
     return rows.select("order_id", "customer_id", "order_date")
 
 
+def common_values(t: Tables) -> DataFrame:
+    """Common values of columns with few of them, which the sketch counts exactly."""
+    found = distribution.describe_tables(t, {"orders": ["status"], "customers": ["branch_id"]})
+    return found.select("table_name", "column", "n_rows", "n_nulls", F.inline("common"))
+
+
+def join_salted_buckets(t: Tables) -> DataFrame:
+    spark = t["orders"].sparkSession
+    database = _database(spark)
+    tables = {"orders": t["orders"].select("order_id", "customer_id"), "order_items": t["order_items"].select("order_id", "product_id", "quantity")}
+    distribution.write_salted(tables, database, 8)
+    return distribution.join_salted(*(spark.table(f"{database}.{n}_salted") for n in ("orders", "order_items")))
+
+
 def write_csvs(t: Tables, folder: str) -> None:
     """The tables as CSV files in the order of their keys, which the load assigns from 1 on."""
 
@@ -227,6 +241,7 @@ OVER_TABLES: dict[str, Callable[[Tables], DataFrame]] = {
         boosted_histogram, boosted_first_cuts, boosted_importances, predictions_stockout_given, boosted_early_stop,
         predictions_churn_flag_forest, predictions_churn_flag_logistic, decomposed_given_weights, forecast_bands_of_paths,
         feature_files, refreshed_scores, catalog_staging_view, catalog_mart_table, model_store, clustered_lookup,
+        common_values, join_salted_buckets,
     )
 }
 
