@@ -12,6 +12,7 @@ from pyspark.sql import functions as F
 from quayside.ml import boosting, decomposed, runs, score, train
 from quayside.operators import splits, weights
 from quayside.plans import features, layout, models, quality
+from quayside.plans.branches import run_branches
 from quayside.schema import Tables
 from quayside.session import materialize
 from quayside.sources.csv_load import Loaded, load_tables
@@ -206,6 +207,33 @@ def features_and_scores(
     return score_all(spark, build_features(tables, folder, as_of=as_of), root, database, as_of)
 
 
+def serve(
+    spark: SparkSession,
+    tables: Tables,
+    folder: str,
+    root: str,
+    database: str = "predictions",
+    as_of: str | date | None = None,
+    limit: float | None = None,
+    retries: int = 0,
+) -> list[str]:
+    """``features_and_scores`` with the three models as concurrent branches, each with a time limit and retries.
+
+    A branch that fails is named at the end; the others have written their tables.
+    """
+    spark.sql(f"CREATE DATABASE IF NOT EXISTS {database}")
+
+    def branch(name: str) -> list[str]:
+        return score_all(spark, build_features(tables, folder, name, as_of), root, database, as_of)
+
+    outcomes = run_branches(spark, {n: lambda n=n: branch(n) for n in ("demand", "churn", "stockout")}, limit, retries)
+    failed = {name: o.error for name, o in outcomes.items() if o.error}
+    written = [table for o in outcomes.values() if not o.error for table in o.value]
+    if failed:
+        raise ScoringError(f"scored {written}; failed: {failed}") from next(iter(failed.values()))
+    return written
+
+
 def run_all(
     spark: SparkSession,
     data_dir: str,
