@@ -14,7 +14,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from quayside.llm import attention, exact, html_content, license, lm, mixing, ngram_join, packing, quality, tokens
+from quayside.llm import attention, exact, html_content, kdtree, license, lm, mixing, ngram_join, packing, quality, tokens
 from quayside.llm.html_training import labelled_pages
 from quayside.llm.queries import QUERIES
 from quayside.session import new_path
@@ -126,6 +126,27 @@ def test_index_keeps_earlier_rows(spark):
     assert index.rows().count() == 3
 
 
+def test_index_takes_a_batch_twice(spark):
+    def labels(batch, *pairs):
+        got = exact.label(spark.createDataFrame(list(pairs), "doc_id bigint, text string"), index, batch)
+        return sorted((r.doc_id, r.keep_id, r.kept) for r in got.collect())
+
+    path, tables = new_path(spark), len(spark.catalog.listTables())
+    index = exact.DigestIndex(spark, path, buckets=4)
+    one, two = ((1, "A"), (2, "a"), (3, "b")), ((9, "a"), (8, "c"), (7, "C"))
+    first = labels("one", *one)
+    assert labels("one", *one) == first == [(1, 2, False), (2, 2, True), (3, 3, True)]
+    second = labels("two", *two)
+    assert labels("two", *two) == second == [(7, 8, False), (8, 8, True), (9, 2, False)]
+    assert sorted((r.owner, r.batch) for r in index.rows().collect()) == [(2, "one"), (3, "one"), (8, "two")]
+    index.drop()
+    index = exact.DigestIndex(spark, path, buckets=4)  # another session finds the batches of the folder
+    assert labels("three", (5, "B"), (6, "d")) == [(5, 3, False), (6, 6, True)]
+    index.drop()
+    exact.label(spark.createDataFrame(list(one), "doc_id bigint, text string")).collect()
+    assert len(spark.catalog.listTables()) == tables
+
+
 def test_near(spark, folder):
     same(spark, "op3_ngram_join", folder, ["doc_id", "n_shingles", "component_id"], brute.near(rows(spark, folder), 3, 90))
 
@@ -318,6 +339,42 @@ def test_shards(spark, folder):
     assert max(sum(r.size for r in m) for m in shards.values()) <= 1.1 * mean + 2 * largest
 
 
+def test_shards_equal_exact_tree(spark):
+    """Every cut lies within one document of the exact weighted quantile of the widest dimension."""
+    folder, n = "/root/testdata/sf0.01", 8
+    docs = kdtree.stored(spark.read.parquet(f"{folder}/documents.parquet"))
+    scaled, _, total = kdtree._scaled(kdtree.measure(docs, ("doc_id",), ("source", "lang")), 4)
+    points = [(tuple(r[f"d{i}"] for i in range(4)), r["size"], (r["doc_id"], r["text_crc32"])) for r in scaled.collect()]
+
+    def cut(members, first, k):
+        if k == 1:
+            return {first: members}
+        extent = [max(p[0][i] for p in members) - min(p[0][i] for p in members) for i in range(4)]
+        dim = max(range(4), key=lambda i: (extent[i], -i))
+        goal, run, left = sum(p[1] for p in members) * ((k + 1) // 2) / k, 0, []
+        ranked = sorted(members, key=lambda p: p[0][dim])
+        for p in ranked:
+            if run + p[1] / 2 > goal:
+                break
+            run += p[1]
+            left.append(p)
+        return cut(left, first, (k + 1) // 2) | cut(ranked[len(left) :], first + (k + 1) // 2, k // 2)
+
+    expected = {p[2]: shard for shard, members in cut(points, 0, n).items() for p in members}
+    got = kdtree.shard(docs, shards=n).collect()
+    largest = max(p[1] for p in points)
+    differ = sum(r.size for r in got if expected[r.doc_id, r.text_crc32] != r.shard)
+    assert differ <= 3 * 7 * largest and differ < 0.05 * total  # seven cuts
+
+
+def test_many_shards_by_bytes(spark):
+    docs = spark.range(40_000).selectExpr("id doc_id", "repeat('x', int(50 + id % 101)) text", "'s' source", "'en' lang")
+    target = 40_000 * 116 // 2000
+    got = kdtree.shard(docs, target_bytes=target).groupBy("shard").agg({"size": "sum", "slot": "max", "*": "count"}).collect()
+    assert sum(r["count(1)"] for r in got) == 40_000 and all(r["max(slot)"] == r["count(1)"] - 1 for r in got)
+    assert abs(len(got) - 2000) <= 2 and max(r["sum(size)"] for r in got) <= 1.2 * target + 2 * 166
+
+
 def test_shards_spread_repeated_rows(spark, tmp_path):
     docs = [(i, "x" * (900 + i % 200), "a", "en") for i in range(4000)] + [(7, "y" * 1000, "a", "en")] * 2000
     spark.createDataFrame(docs, "doc_id bigint, text string, source string, lang string").repartition(4).write.parquet(f"{tmp_path}/documents.parquet")
