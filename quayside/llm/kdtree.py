@@ -3,8 +3,9 @@
 A node that must hold k shards is cut at the weighted quantile ceil(k/2)/k of its bytes (the weighted median
 where k is even), along the dimension in which its rows spread widest. All nodes of a level are cut together:
 one aggregation gives their extents, and a few histogram passes narrow every node's cut to a
-thousandth of a bin each time. The driver holds one row per node, at most as many as there are shards; the
-rows themselves stay where they are until their places within the shards are counted.
+thousandth of a bin each time. A node is named by its first shard; its rows carry that name and the number of
+shards, and are stored after each level, so that no plan grows with the depth. Cuts are a table of one row per node,
+computed on the executors: the driver holds none of it, however many shards there are.
 
 Defined cases: a null text has no bytes, a null in a dimension is a value of its own, an empty table gives
 no rows. Equal metadata is spread by a hash of id, text and place in the input, so that neither ties nor
@@ -13,11 +14,11 @@ repeated rows stop a cut. A document is never cut, so shards differ by up to its
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import local_rows, row_id, stored, text_or_empty, unit, with_offsets
-from quayside.session import materialize
+from quayside.llm.common import row_id, stored, text_or_empty, unit, with_offsets
+from quayside.session import drop_path, materialize, recorded_paths
 
 BINS = 1024
 PASSES = 4
@@ -64,48 +65,65 @@ def _scaled(measured: DataFrame, count: int) -> tuple[DataFrame, int, int]:
     return measured.select(*kept, *(scaled(i).alias(f"d{i}") for i in range(count))), ends["rows"], ends["bytes"] or 0
 
 
-def _cuts(spark: SparkSession, rows: DataFrame, nodes: dict[int, int], dims: int, target: float) -> dict[int, tuple[int, float]]:
-    """Dimension and threshold for each node that holds more than one shard."""
-    extents = rows.groupBy("node").agg(
+def _left() -> Column:
+    """How many of a node's shards lie left of its cut."""
+    return F.expr("int((k + 1) div 2)")
+
+
+def _at(dims: int) -> Column:
+    """The value of a row in the dimension ``dim``."""
+    return F.element_at(F.array(*(F.col(f"d{i}") for i in range(dims))), F.col("dim") + 1)
+
+
+def _cuts(rows: DataFrame, dims: int, target: float) -> DataFrame:
+    """Stores node, dim, at: the cut of each node that holds more than one shard.
+
+    One row per node, narrowed pass by pass on the executors; Spark broadcasts it as long as it is small.
+    """
+    wide = rows.filter("k > 1")
+    ends = wide.groupBy("node", "k").agg(
         F.sum("size").alias("bytes"),
         *(F.min(f"d{i}").alias(f"low{i}") for i in range(dims)),
         *(F.max(f"d{i}").alias(f"high{i}") for i in range(dims)),
     )
-    state = {}
-    for r in extents.collect():  # one row per node
-        k = nodes[r["node"]]
-        widest = max(range(dims), key=lambda i: (r[f"high{i}"] - r[f"low{i}"], -i))
-        goal = r["bytes"] * ((k + 1) // 2) / k
-        state[r["node"]] = [widest, r[f"low{widest}"], r[f"high{widest}"], 0.0, goal]
-    found: dict[int, tuple[int, float]] = {}
+    spans = [
+        F.struct((F.col(f"high{i}") - F.col(f"low{i}")).alias("width"), F.lit(-i).alias("turned"), F.col(f"low{i}").alias("low"), F.col(f"high{i}").alias("high"))
+        for i in range(dims)
+    ]
+    widest = F.array_max(F.array(*spans))
+    goal = F.col("bytes") * _left() / F.col("k")
+    nodes = ends.select("node", goal.alias("goal"), widest.alias("w")).select(
+        "node", "goal", (-F.col("w.turned")).alias("dim"), "w.low", "w.high", F.lit(0).cast("bigint").alias("before"), F.lit(None).cast("double").alias("at")
+    )
+    nodes = materialize(nodes)
+    step = F.when(F.col("high") > F.col("low"), (F.col("high") - F.col("low")) / BINS).otherwise(1.0)
     for _ in range(PASSES):
-        open_nodes = {n: s for n, s in state.items() if n not in found}
-        if not open_nodes:
-            break
-        spans = local_rows(
-            spark, [(n, s[0], s[1], (s[2] - s[1]) / BINS or 1.0) for n, s in open_nodes.items()], "node int, dim int, low double, step double"
+        undecided = nodes.filter("at is null").withColumn("step", step)
+        place = F.floor((_at(dims) - F.col("low")) / F.col("step"))
+        inside = wide.join(undecided, "node").select("node", "size", place.alias("bin")).filter(F.col("bin").between(0, BINS))
+        sums = inside.groupBy("node", F.least("bin", F.lit(BINS - 1)).alias("bin")).agg(F.sum("size").alias("inside"))
+        run = F.sum("inside").over(Window.partitionBy("node").orderBy("bin"))  # at most BINS rows
+        reached = sums.withColumn("upto", run).join(undecided.select("node", "before", "goal"), "node")
+        hits = reached.filter(F.col("before") + F.col("upto") >= F.col("goal")).groupBy("node").agg(F.min(F.struct("bin", "inside", "upto")).alias("hit"))
+        low = F.col("low") + F.col("hit.bin") * step
+        below = F.col("before") + F.col("hit.upto") - F.col("hit.inside")
+        settled = (F.col("hit.inside") <= TOLERANCE * target) | (step < 1e-14)
+        nearer = F.when(F.col("goal") - below < below + F.col("hit.inside") - F.col("goal"), low).otherwise(low + step)
+        found, lost = F.col("hit").isNotNull(), F.col("at").isNull() & F.col("hit").isNull()
+        nodes = materialize(
+            nodes.join(hits, "node", "left").select(
+                "node",
+                "goal",
+                "dim",
+                F.when(found, low).otherwise(F.col("low")).alias("low"),
+                F.when(found, low + step).otherwise(F.col("high")).alias("high"),
+                F.when(found, below).otherwise(F.col("before")).alias("before"),
+                F.when(found & settled, nearer).when(lost, F.col("high")).otherwise(F.col("at")).alias("at"),
+            )
         )
-        value = F.element_at(F.array(*(F.col(f"d{i}") for i in range(dims))), F.col("dim") + 1)
-        place = F.floor((value - F.col("low")) / F.col("step"))
-        inside = rows.join(F.broadcast(spans), "node").select("node", "size", place.alias("bin")).filter(F.col("bin").between(0, BINS))
-        sums = inside.groupBy("node", F.least("bin", F.lit(BINS - 1)).alias("bin")).agg(F.sum("size").alias("bytes"))
-        bins: dict[int, dict[int, int]] = {}
-        for r in sums.collect():  # at most BINS rows per node
-            bins.setdefault(r["node"], {})[r["bin"]] = r["bytes"]
-        for n, s in open_nodes.items():
-            dim, low, high, before, goal = s
-            step, inside_bin = (high - low) / BINS, 0
-            for b in sorted(bins.get(n, {})):
-                inside_bin = bins[n][b]
-                if before + inside_bin >= goal:
-                    break
-                before += inside_bin
-            s[1], s[2], s[3] = low + b * step, low + (b + 1) * step, before
-            if inside_bin <= TOLERANCE * target or step < 1e-14:
-                found[n] = (dim, s[1] if goal - before < before + inside_bin - goal else s[2])
-    for n, s in state.items():
-        found.setdefault(n, (s[0], s[2]))
-    return found
+        if nodes.filter("at is null").isEmpty():
+            break
+    return nodes.select("node", "dim", F.coalesce("at", "high").alias("at"))
 
 
 def shard(
@@ -119,27 +137,19 @@ def shard(
     spark, dims = docs.sparkSession, 1 + len(numeric) + len(labels)
     rows, count, total = _scaled(measure(docs, numeric, labels), dims)
     shards = shards or max(1, -(-total // target_bytes))
-    tree = {0: (0, shards)}  # node: its first shard and how many it holds
-    while any(k > 1 for _, k in tree.values()):
-        wide = {n: k for n, (_, k) in tree.items() if k > 1}
-        active = rows.join(F.broadcast(local_rows(spark, [(n,) for n in wide], "node int")), "node", "left_semi")
-        cuts = _cuts(spark, active, wide, dims, max(1.0, total / shards))
-        grown, moves = {}, []
-        for n, (first, k) in tree.items():
-            if k == 1:
-                moves.append((n, 0, 1e300, len(grown), -1))
-                grown[len(grown)] = (first, 1)
-                continue
-            dim, at = cuts.get(n, (0, 0.0))
-            left, right = len(grown), len(grown) + 1
-            moves.append((n, dim, at, left, right))
-            grown[left], grown[right] = (first, (k + 1) // 2), (first + (k + 1) // 2, k // 2)
-        table = F.broadcast(local_rows(spark, moves, "node int, dim int, at double, below int, above int"))  # one row per node
-        value = F.element_at(F.array(*(F.col(f"d{i}") for i in range(dims))), F.col("dim") + 1)
-        rows = rows.join(table, "node").withColumn("node", F.when(value < F.col("at"), F.col("below")).otherwise(F.col("above")))
-        rows = rows.drop("dim", "at", "below", "above")
-        tree = grown
-    leaves = F.broadcast(local_rows(spark, [(n, first) for n, (first, _) in tree.items()], "node int, shard int"))  # one row per shard
-    placed = rows.join(leaves, "node").select("doc_id", "size", "text_crc32", "spread", "shard")
+    rows = rows.withColumn("k", F.lit(shards))
+    spent: list[str] = []
+    for _ in range((shards - 1).bit_length()):
+        with recorded_paths() as paths:
+            moved = rows.join(_cuts(rows, dims, max(1.0, total / shards)), "node", "left")
+            right = _at(dims) >= F.col("at")  # null in a node that is a shard already
+            node = F.when(right, F.col("node") + _left()).otherwise(F.col("node"))
+            k = F.when(F.col("dim").isNull(), F.col("k")).when(right, F.col("k") - _left()).otherwise(_left())
+            kept = [c for c in rows.columns if c not in ("node", "k")]
+            rows = materialize(moved.select(*kept, node.alias("node"), k.alias("k")))
+        for path in (*spent, *paths[:-1]):  # all but the rows just stored; nothing reads them any more
+            drop_path(spark, path)
+        spent = paths[-1:]
+    placed = rows.select("doc_id", "size", "text_crc32", "spread", F.col("node").alias("shard"))
     slotted = with_offsets(placed, ["shard"], "spread", ["doc_id"], F.lit(1), "slot", count)
     return slotted.select("doc_id", "size", "text_crc32", "shard", "slot")
