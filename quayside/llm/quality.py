@@ -20,7 +20,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from quayside.llm.common import WORD, let, text_or_empty
+from quayside.llm.common import ROW, WORD, let, row_id, stored, text_or_empty, with_row_id
 from quayside.session import materialize
 
 SPACE = r"\x20\x09-\x0D"
@@ -61,27 +61,43 @@ def _base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (n_repeat_words > MAX_REPEAT * n_words)
 
 
-def _texts(docs: DataFrame) -> DataFrame:
-    """Stores lang, class shares, number of words and short words of each distinct text that passes the base rules."""
-    text = text_or_empty()
-    rows = docs.select(F.col("lang").cast("string").alias("lang"), text.alias("text"))
-    rows = rows.withColumn("words", F.regexp_extract_all("text", F.lit(WORD), F.lit(0)))
-    rows = rows.filter(~let(F.col("words"), lambda w: _base_failed(F.size(w), _repeat_words(w))))
-    rows = rows.select(
-        F.monotonically_increasing_id().alias("id"),
-        "lang",
-        F.xxhash64("text").alias("digest"),
-        F.transform(_class_counts(F.col("text")), lambda x: x.cast("double") / F.length("text")).alias("shares"),
-        F.size("words").alias("n_words"),
-        F.filter("words", lambda w: F.length(w) <= COMMON_LENGTH).alias("short"),
+def _analysed(docs: DataFrame, carried: list[str]) -> DataFrame:
+    """Stores what the rules need of each row of stored ``docs``: its id, ``carried`` columns, counts, shares and short words.
+
+    This is the only pass over the texts.
+    """
+    text = F.col("text")
+    own = [F.col(f"`{c}`").alias(f"carried_{i}") for i, c in enumerate(carried)]
+    rows = docs.select(row_id().alias(ROW), *own, F.col("lang").cast("string").alias("lang"), text_or_empty().alias("text"))
+    rows = rows.withColumn("words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0))).withColumn("classes", _class_counts(text))
+    lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\f\r"))) > 0)
+    return materialize(
+        rows.select(
+            ROW,
+            *(f"carried_{i}" for i in range(len(carried))),
+            "lang",
+            F.xxhash64("text").alias("digest"),
+            F.length("text").alias("n_chars"),
+            F.size("words").alias("n_words"),
+            F.col("classes")[SPACES].alias("n_spaces"),
+            F.col("classes")[SYMBOLS].alias("n_symbols"),
+            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"),
+            _repeat_words(F.col("words")).alias("n_repeat_words"),
+            F.transform("classes", lambda x: F.when(F.length("text") > 0, x.cast("double") / F.length("text")).otherwise(0.0)).alias("shares"),
+            F.filter("words", lambda w: F.length(w) <= COMMON_LENGTH).alias("short"),
+        )
     )
-    every = materialize(rows)
-    copies = every.groupBy("lang", "digest").agg(F.min("id").alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
+
+
+def _texts(analysed: DataFrame) -> DataFrame:
+    """Each distinct text that passes the base rules once."""
+    every = analysed.filter(~_base_failed(F.col("n_words"), F.col("n_repeat_words"))).select(ROW, "lang", "digest", "shares", "n_words", "short")
+    copies = every.groupBy("lang", "digest").agg(F.min(ROW).alias("first"), F.count(F.lit(1)).alias("n")).filter("n > 1")
     copies = materialize(copies.select(F.col("lang").alias("of_lang"), F.col("digest").alias("of_digest"), "first"))
     few = copies.count() <= BROADCAST_COPIES
     same = F.col("lang").eqNullSafe(F.col("of_lang")) & (F.col("digest") == F.col("of_digest"))
     joined = every.join(F.broadcast(copies) if few else copies, same, "left")
-    return joined.filter(F.col("first").isNull() | (F.col("id") == F.col("first"))).drop("of_lang", "of_digest", "first", "digest", "id")
+    return joined.filter(F.col("first").isNull() | (F.col(ROW) == F.col("first"))).drop("of_lang", "of_digest", "first", "digest", ROW)
 
 
 def _joined(rows: DataFrame, by_lang: DataFrame) -> DataFrame:
@@ -146,9 +162,9 @@ def _with_shares(rows: DataFrame) -> DataFrame:
     return joined.withColumn("common_shares", _common_shares(F.col("short"), F.col("common"), F.col("n_words")))
 
 
-def references(docs: DataFrame) -> DataFrame:
+def references(analysed: DataFrame) -> DataFrame:
     """Stores lang, class_shares, common, common_shares (the last one of all other words): one row per language."""
-    near = _near(_texts(docs), "shares", MAX_CLASSES)
+    near = _near(_texts(analysed), "shares", MAX_CLASSES)
     near = materialize(near)
     plain = materialize(_with_shares(_near(_with_shares(near), "common_shares", MAX_COMMON)))
     common = plain.groupBy("lang").agg(F.first("common").alias("common"))  # equal in all rows of a language
@@ -189,42 +205,36 @@ def _repeat_words(words: Column) -> Column:
     return F.when(F.size(words) > 3, let(windows, marked)).otherwise(0)
 
 
-def measure(docs: DataFrame, name: str = "quality") -> DataFrame:
-    """Adds the struct ``name``: the base counts, both distances (null where too short) and the verdicts."""
-    refs = references(docs).select("lang", F.struct("class_shares", "common", "common_shares").alias("__quayside_ref"))
-    rows = _joined(docs, refs)
-    text = text_or_empty()
-    rows = rows.withColumn("__quayside_words", F.regexp_extract_all(text, F.lit(WORD), F.lit(0)))
-    words, n = F.col("__quayside_words"), F.size("__quayside_words")
-    lines = F.filter(F.split(text, "\n", -1), lambda line: F.length(F.btrim(line, F.lit(" \t\n\x0b\f\r"))) > 0)
-    rows = rows.withColumn("__quayside_classes", _class_counts(text))
-    classes = F.col("__quayside_classes")
-    rows = rows.withColumn(
-        name,
-        F.struct(
-            n.cast("bigint").alias("n_words"),
-            (F.length(text) - classes[SPACES]).cast("bigint").alias("word_chars"),
-            classes[SYMBOLS].cast("bigint").alias("n_symbols"),
-            let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).cast("bigint").alias("n_dup_lines"),
-            _repeat_words(words).cast("bigint").alias("n_repeat_words"),
-            F.when(
-                (F.length(text) >= MIN_CHARS_CLASSES) & F.col("__quayside_ref").isNotNull(),
-                distance(F.transform(classes, lambda x: x.cast("double") / F.length(text)), F.col("__quayside_ref.class_shares")),
-            ).alias("class_distance"),
-            F.when((n >= MIN_WORDS_COMMON) & F.col("__quayside_ref").isNotNull(), _common_distance(words, n)).alias("common_distance"),
-        ),
-    ).drop("__quayside_words", "__quayside_ref", "__quayside_classes")
-    q = F.col(name)
-    failed = _base_failed(q["n_words"], q["n_repeat_words"])
-    far = F.coalesce(q["class_distance"] > MAX_CLASSES, F.lit(False)) | F.coalesce(q["common_distance"] > MAX_COMMON, F.lit(False))
-    return rows.withColumn(name, q.withField("base_failed", failed).withField("kept", ~failed & ~far))
-
-
-def _common_distance(words: Column, n: Column) -> Column:
-    short = F.filter(words, lambda w: F.length(w) <= COMMON_LENGTH)
-    return distance(_common_shares(short, F.col("__quayside_ref.common"), n), F.col("__quayside_ref.common_shares"))
+def verdicts(docs: DataFrame, carried: list[str], name: str) -> DataFrame:
+    """Row id, ``carried`` columns and the struct ``name`` of each row of stored ``docs``."""
+    analysed = _analysed(docs, carried)
+    rows = _joined(analysed, references(analysed))
+    long_classes = (F.col("n_chars") >= MIN_CHARS_CLASSES) & F.col("class_shares").isNotNull()
+    long_common = (F.col("n_words") >= MIN_WORDS_COMMON) & F.col("common").isNotNull()
+    rows = rows.withColumn("class_distance", F.when(long_classes, distance(F.col("shares"), F.col("class_shares"))))
+    common = _common_shares(F.col("short"), F.col("common"), F.col("n_words"))
+    rows = rows.withColumn("common_distance", F.when(long_common, distance(common, F.col("common_shares"))))
+    failed = _base_failed(F.col("n_words"), F.col("n_repeat_words"))
+    far = F.coalesce(F.col("class_distance") > MAX_CLASSES, F.lit(False)) | F.coalesce(F.col("common_distance") > MAX_COMMON, F.lit(False))
+    verdict = F.struct(
+        F.col("n_words").cast("bigint").alias("n_words"),
+        (F.col("n_chars") - F.col("n_spaces")).cast("bigint").alias("word_chars"),
+        *(F.col(c).cast("bigint").alias(c) for c in ("n_symbols", "n_dup_lines", "n_repeat_words")),
+        "class_distance",
+        "common_distance",
+        failed.alias("base_failed"),
+        (~failed & ~far).alias("kept"),
+    )
+    return rows.select(ROW, *(F.col(f"carried_{i}").alias(c) for i, c in enumerate(carried)), verdict.alias(name))
+
+
+def measure(docs: DataFrame, columns: list[str] | None = None, name: str = "quality") -> DataFrame:
+    """``columns`` of ``docs`` and the struct ``name``: the base counts, both distances (null where too short) and the verdicts."""
+    return verdicts(stored(docs), docs.columns if columns is None else columns, name).drop(ROW)
 
 
 def keep_good(docs: DataFrame) -> DataFrame:
-    """The rows that pass, with the columns of ``docs``."""
-    return measure(docs, "__quayside_quality").filter("__quayside_quality.kept").drop("__quayside_quality")
+    """The rows that pass, with the columns of ``docs``; texts are read again, not analysed again."""
+    docs = stored(docs)
+    good = materialize(verdicts(docs, [], "verdict").filter("verdict.kept").select(ROW))
+    return with_row_id(docs).join(good, ROW, "left_semi").drop(ROW)

@@ -95,7 +95,7 @@ def op7_lm_scores(spark: SparkSession, folder: str) -> DataFrame:
 
 
 def op8_quality_rules(spark: SparkSession, folder: str) -> DataFrame:
-    return quality.measure(read(spark, folder, "documents")).select("doc_id", "quality.*")
+    return quality.measure(read(spark, folder, "documents"), ["doc_id"]).select("doc_id", "quality.*")
 
 
 def op9_kd_shards(spark: SparkSession, folder: str) -> DataFrame:
