@@ -41,7 +41,7 @@ class _Writer:
     def prose(self, content: bool) -> str:
         r, parts = self.r, []
         for _ in range(r.choice((1, 1, 1, 2, 3))):
-            parts.append(self.words(1, r.choice((3, 12, 40, 120))))
+            parts.append(self.words(1, r.choice((3, 12, 40, 120) if content else (3, 12, 20, 40))))
             if r.random() < 0.3:
                 kind = r.choice(("b", "em", "strong", "i", "span", "code", "a", "mark"))
                 parts.append(self.link(content) if kind == "a" else self.tag(kind, self.words(1, 6), content))
@@ -68,6 +68,14 @@ class _Writer:
             return self.tag(kind, "".join(self.tag("p", self.prose(True), True) for _ in range(r.randint(1, 3))), True, cls)
         return self.tag(kind, self.prose(True) if kind == "p" else self.words(1, 9), True, cls)
 
+    def comments(self) -> str:
+        """What readers wrote."""
+        r = self.r
+        inner = "".join(self.tag("div", self.tag("p", self.prose(False), False) + self.tag("span", self.words(1, 2), False), False, r.choice(("comment", "reply", "comment-body"))) for _ in range(r.randint(1, 4)))
+        if r.random() < 0.3:
+            inner = "".join(self.tag("p", self.prose(False), False) for _ in range(r.randint(1, 5)))
+        return self.tag(r.choice(("div", "section", "ol")), inner, False, r.choice(("comments", "comments", "comment-list", "discussion", "responses comments", "respond")))
+
     def noise(self) -> str:
         """Something on the page that is not the article."""
         r, kind = self.r, self.r.randrange(9)
@@ -82,8 +90,7 @@ class _Writer:
             fields = self.tag("label", self.words(1, 4), False) + '<input name="q">' + self.tag("button", self.words(1, 2), False)
             return self.tag("form", fields + (self.tag("p", self.words(3, 12), False) if r.random() < 0.4 else ""), False, r.choice(("", cls)))
         if kind == 4:
-            inner = "".join(self.tag("div", self.tag("p", self.prose(False), False) + self.tag("span", self.words(1, 2), False), False, r.choice(("comment", "reply", "comment-body"))) for _ in range(r.randint(1, 4)))
-            return self.tag(r.choice(("div", "section", "ol")), inner, False, r.choice(("comments", "comment-list", "discussion", "responses comments", "respond")))
+            return self.comments()
         if kind == 5:
             return self.tag("aside", "".join(self.tag(r.choice(("p", "h3", "div")), self.prose(False), False) for _ in range(r.randint(1, 3))), False, r.choice(("", cls)))
         inner = self.prose(False) if r.random() < 0.5 else "".join(self.tag(r.choice(("p", "div", "span", "h4")), self.prose(False), False) for _ in range(r.randint(1, 3)))
@@ -95,17 +102,25 @@ class _Writer:
         for _ in range(r.choice((0, 0, 0, 1, 2))):
             parts.insert(r.randint(1, len(parts)), self.noise())
         inner = "".join(parts)
-        form = r.randrange(6)
+        if r.random() < 0.2:  # references of the article
+            inner += self.tag(r.choice(("ul", "ol")), "".join(self.tag("li", self.link(True, 1, 8), True) for _ in range(r.randint(1, 12))), True)
+        if r.random() < 0.3:
+            inner += self.comments()
+        form = r.randrange(7)
         if form < 2:
             article = self.tag("article", inner, True, r.choice(("", r.choice(INSIDE))))
         elif form == 2:
             article = self.tag("main", inner, True, r.choice(("", r.choice(INSIDE))))
         elif form == 3:
-            article = self.tag(r.choice(("div", "section", "td")), inner, True, r.choice(INSIDE))
+            article = self.tag(r.choice(("div", "div", "section", "td")), inner, True, r.choice(INSIDE) + r.choice(("", f"-{r.choice(INSIDE)}", f" {r.choice(NEUTRAL)}")))
         elif form == 4:
             article = self.tag("main", self.tag("article", inner, True), True)
-        else:
+        elif form == 5:
             article = self.tag("div", inner, True) if r.random() < 0.5 else inner
+        else:  # a layout table: links in one cell, the article in another
+            cells = [self.tag("td", "".join(self.link(False) for _ in range(r.randint(1, 6))), False, r.choice(("", "", r.choice(ASIDE))))]
+            cells.insert(r.randrange(2), self.tag("td", inner, True, r.choice(("", r.choice(INSIDE)))))
+            article = self.tag("table", self.tag("tr", "".join(cells), False), False)
         before, after = ([self.noise() for _ in range(r.randint(0, 4))] for _ in range(2))
         body = "".join((*before, article, *after))
         if r.random() < 0.4:

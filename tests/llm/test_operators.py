@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -408,6 +409,34 @@ def test_html_elements_cut_nothing(piece):
     assert got.endswith(f"{long}last") and f"{long}first" in got
 
 
+PROSE = "Long prose with many words goes on here and tells the story. " * 6
+KEPT = " ".join(PROSE.split())
+
+
+@pytest.mark.parametrize(
+    "page, text",
+    [
+        (f"<article><p>{PROSE}</p><ul><li><a>Ref one</a></li><li><a>Ref two</a></li></ul></article>", f"{KEPT}\nRef one\nRef two"),
+        (f'<div class="post"><h2>Head</h2><p>{PROSE}</p><p>{PROSE}</p><div class="comments"><div class="comment"><p>I think so</p></div></div></div>', f"Head\n{KEPT}\n{KEPT}"),
+        (f'<div class="story-body"><p>{PROSE}</p><p>{PROSE}</p><div id="comments"><p>Nice one</p><p>Bad</p></div></div>', f"{KEPT}\n{KEPT}"),
+        (f"<table><tr><td><a>a</a> <a>b</a></td><td><p>{PROSE}</p><p>{PROSE}</p></td></tr></table>", f"{KEPT}\n{KEPT}"),
+        (f"<nav><ul><li><a>Home</a></li></ul></nav><div><h1>T</h1><p>{PROSE}</p><aside>Buy now</aside><p>{PROSE}</p></div>", f"T\n{KEPT}\n{KEPT}"),
+    ],
+)
+def test_html_keeps_articles_around_other_parts(page, text):
+    assert html_content.trained().extract(page) == text
+
+
+@pytest.mark.parametrize(
+    "page",
+    ["<x" * 50_000, "<div>" * 20_000, "<b>" * 16_000 + "</i>" * 16_000, "<i><div>" + "<b>" * 12_000 + "</i>" * 12_000, '<a "' * 25_000 + ">", "<a '\"" * 20_000 + ">", "<script" + "</script" * 12_000, "<!" * 50_000],
+)
+def test_html_parses_in_linear_time(page):
+    began = time.process_time()
+    html_content.parse(page)
+    assert time.process_time() - began < 1
+
+
 def test_html_formulas_stay_in_their_line():
     long = "This sentence belongs to the main article and it is long enough to be told from a menu. " * 4
     page = f"<article><p>{long}where <math><mi>x</mi><mo>+</mo><mi>y</mi></math> holds <svg><path d='M0'/></svg> here</p><object><p>{long}fallback</p></object><script>var a;</script></article>"
