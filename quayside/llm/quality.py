@@ -61,6 +61,17 @@ def _base_failed(n_words: Column, n_repeat_words: Column) -> Column:
     return (n_words < MIN_WORDS) | (n_repeat_words > MAX_REPEAT * n_words)
 
 
+def _runs(words: Column) -> Column:
+    """Structs of word and n, how often it stands there, of sorted words."""
+    starts = F.array_compact(F.transform(words, lambda w, i: F.when(~F.get(words, i - 1).eqNullSafe(w), i)))
+
+    def counted(at: Column) -> Column:
+        end = lambda j: F.coalesce(F.get(at, j + 1), F.size(words))
+        return F.transform(at, lambda a, j: F.struct(F.get(words, a).alias("word"), (end(j) - a).alias("n")))
+
+    return let(starts, counted)
+
+
 def _analysed(docs: DataFrame, carried: list[str]) -> DataFrame:
     """Stores what the rules need of each row of stored ``docs``: its id, ``carried`` columns, counts, shares and short words.
 
@@ -84,7 +95,7 @@ def _analysed(docs: DataFrame, carried: list[str]) -> DataFrame:
             let(lines, lambda x: F.size(x) - F.size(F.array_distinct(x))).alias("n_dup_lines"),
             _repeat_words(F.col("words")).alias("n_repeat_words"),
             F.transform("classes", lambda x: F.when(F.length("text") > 0, x.cast("double") / F.length("text")).otherwise(0.0)).alias("shares"),
-            F.filter("words", lambda w: F.length(w) <= COMMON_LENGTH).alias("short"),
+            let(F.sort_array(F.filter("words", lambda w: F.length(w) <= COMMON_LENGTH)), _runs).alias("short"),
         )
     )
 
@@ -138,7 +149,8 @@ def _means(rows: DataFrame, shares: str, name: str) -> DataFrame:
 def _common(rows: DataFrame) -> DataFrame:
     """lang, common: the short words of the largest mean shares."""
     unit = F.round(F.lit(float(UNITS)) / F.col("n_words")).cast("bigint")
-    words = rows.select("lang", unit.alias("u"), F.explode("short").alias("word")).groupBy("lang", "word").agg(F.sum("u").alias("n"))
+    each = rows.select("lang", unit.alias("u"), F.explode("short").alias("w"))
+    words = each.groupBy("lang", F.col("w.word").alias("word")).agg(F.sum(F.col("u") * F.col("w.n")).alias("n"))
     rank = F.row_number().over(Window.partitionBy("lang").orderBy(F.col("n").desc(), "word"))
     top = words.withColumn("rank", rank).filter(F.col("rank") <= COMMON).groupBy("lang")
     listed = top.agg(F.array_sort(F.collect_list(F.struct("rank", "word"))).alias("top"))
@@ -146,13 +158,16 @@ def _common(rows: DataFrame) -> DataFrame:
 
 
 def _common_shares(short: Column, common: Column, n: Column) -> Column:
-    """Shares of the common words among ``n`` words, the last one of all others."""
+    """Shares of the common words among ``n`` words, the last one of all others; ``short`` are counted words."""
 
     def shares(counts: Column) -> Column:
         rest = n - F.aggregate(counts, F.lit(0), lambda a, b: a + b)
         return F.transform(F.concat(counts, F.array(rest)), lambda c: c.cast("double") / n)
 
-    return let(short, lambda x: let(F.transform(common, lambda w: F.size(x) - F.size(F.array_remove(x, w))), shares))
+    def found(words: Column, counts: Column) -> Column:
+        return F.transform(common, lambda w: F.coalesce(F.get(counts, F.array_position(words, w).cast("int") - 1), F.lit(0)))
+
+    return let(short["word"], lambda words: let(short["n"], lambda counts: let(found(words, counts), shares)))
 
 
 def _with_shares(rows: DataFrame) -> DataFrame:
@@ -164,9 +179,9 @@ def _with_shares(rows: DataFrame) -> DataFrame:
 
 def references(analysed: DataFrame) -> DataFrame:
     """Stores lang, class_shares, common, common_shares (the last one of all other words): one row per language."""
-    near = _near(_texts(analysed), "shares", MAX_CLASSES)
-    near = materialize(near)
-    plain = materialize(_with_shares(_near(_with_shares(near), "common_shares", MAX_COMMON)))
+    near = materialize(_near(_texts(analysed), "shares", MAX_CLASSES))
+    shared = materialize(_with_shares(near))
+    plain = materialize(_with_shares(_near(shared, "common_shares", MAX_COMMON)))
     common = plain.groupBy("lang").agg(F.first("common").alias("common"))  # equal in all rows of a language
     classes, shares = _means(plain, "shares", "class_shares"), _means(plain, "common_shares", "common_shares")
     for i, part in enumerate((classes, shares)):
