@@ -136,6 +136,68 @@ def quality_base(rows):
     return out
 
 
+def js_distance(p, q):
+    part = lambda a, b: a * math.log2(2 * a / (a + b)) if a > 0 else 0.0
+    return math.sqrt(max(0.0, sum(part(a, b) + part(b, a) for a, b in zip(p, q)) / 2))
+
+
+def quality_distances(rows, q):
+    """(class distance, common-word distance) of each row, in the order of ``rows``; ``q`` holds classes and limits."""
+
+    def analysed(r):
+        text, counts = r["text"] or "", []
+        rest = text
+        for c in q.CLASSES:
+            left = re.sub(c, "", rest)
+            counts.append(len(rest) - len(left))
+            rest = left
+        w = words(text)
+        shares = [c / len(text) if text else 0.0 for c in (*counts, len(rest))]
+        return {"lang": r["lang"], "text": text, "shares": shares, "n": len(w), "short": Counter(x for x in w if len(x) <= q.COMMON_LENGTH)}
+
+    half_up = lambda x: math.floor(x + 0.5)
+
+    def median(values):
+        steps = [sorted(half_up(x * q.MEDIAN_STEPS) for x in v)[(len(v) - 1) // 2] for v in zip(*values)]
+        return [s / max(1.0, sum(steps)) for s in steps]
+
+    def near(texts, shares, most):
+        if not texts:
+            return []
+        centre = median([shares(t) for t in texts])
+        return [t for t in texts if js_distance(shares(t), centre) <= most]
+
+    def common(texts):
+        n = Counter()
+        for t in texts:
+            for w, c in t["short"].items():
+                n[w] += c * half_up(q.UNITS / t["n"])
+        return [w for w, _ in sorted(n.items(), key=lambda x: (-x[1], x[0].encode()))[: q.COMMON]]
+
+    def common_shares(t, of):
+        counts = [t["short"][w] for w in of]
+        return [c / t["n"] for c in (*counts, t["n"] - sum(counts))]
+
+    mean = lambda values: [sum(half_up(x * q.UNITS) for x in v) / len(v) / q.UNITS for v in zip(*values)]
+    each, failed = [analysed(r) for r in rows], [x[-1] for x in quality_base(rows)]
+    found = {}
+    for lang in {t["lang"] for t in each}:
+        texts = list({t["text"]: t for t, bad in zip(each, failed) if t["lang"] == lang and not bad}.values())
+        texts = near(texts, lambda t: t["shares"], q.MAX_CLASSES)
+        first = common(texts)
+        texts = near(texts, lambda t: common_shares(t, first), q.MAX_COMMON)
+        last = common(texts)
+        if texts:
+            found[lang] = mean([t["shares"] for t in texts]), last, mean([common_shares(t, last) for t in texts])
+    out = []
+    for t in each:
+        classes, of, shares = found.get(t["lang"], (None, [], None))
+        a = js_distance(t["shares"], classes) if classes and len(t["text"]) >= q.MIN_CHARS_CLASSES else None
+        b = js_distance(common_shares(t, of), shares) if classes and t["n"] >= q.MIN_WORDS_COMMON else None
+        out.append((a, b))
+    return out
+
+
 def url_parts(url):
     before, found, rest = (url or "").partition("://")
     host = re.match(r"[^/?#]*", rest if found else "")[0]

@@ -293,6 +293,22 @@ def test_quality(spark, folder):
     assert not [r for r in QUERIES["op8_quality_rules"](spark, folder).collect() if r.base_failed and r.kept]
 
 
+def test_quality_distances_equal_plain_python(spark, folder):
+    docs = spark.read.parquet(f"{folder}/documents.parquet").select("doc_id", "text", F.col("lang").cast("string").alias("lang"))
+    got = quality.measure(docs, docs.columns).select(*docs.columns, "quality.*").collect()
+    for r, want in zip(got, brute.quality_distances([r.asDict() for r in got], quality)):
+        assert [r.class_distance, r.common_distance] == [None if x is None else pytest.approx(x, abs=1e-6) for x in want]
+        far = (want[0] or 0) > quality.MAX_CLASSES or (want[1] or 0) > quality.MAX_COMMON
+        assert r.kept == (not r.base_failed and not far)
+
+
+def test_quality_counts_short_words(spark):
+    df = spark.sql("SELECT array('b', 'a', 'b', 'c', 'b') w, array('b', 'x') common UNION ALL SELECT array(), array('b') UNION ALL SELECT array('a'), array()")
+    short = quality._runs(F.sort_array("w"))
+    got = {r.n: (r.short, r.shares) for r in df.select(F.size("w").alias("n"), short.alias("short"), F.when(F.size("w") > 0, quality._common_shares(short, df.common, F.size("w"))).alias("shares")).collect()}
+    assert got == {5: ([("a", 1), ("b", 3), ("c", 1)], [0.6, 0.0, 0.4]), 0: ([], None), 1: ([("a", 1)], [1.0])}
+
+
 def test_quality_distance(spark):
     df = spark.sql("SELECT array(0.5D, 0.5D, 0D) p, array(0.5D, 0.5D, 0D) q UNION ALL SELECT array(1D, 0D), array(0D, 1D) UNION ALL SELECT array(1D, 0D), array(0.5D, 0.5D)")
     got = sorted(r.d for r in df.select(quality.distance(df.p, df.q).alias("d")).collect())
