@@ -173,3 +173,42 @@ def test_regions_without_a_model_stay(spark):
     models = forecast.fit(days.filter("region_id = 1"))
     got = forecast.predict(models, forecast.future_frame(days, 3)).groupBy("region_id").count().collect()
     assert sorted((r.region_id, r["count"]) for r in got) == [(1, 3), (2, 3)]
+
+
+def test_stockout_base_is_the_full_outer_join(spark):
+    """Copies of a branch, a branch of two regions and one without an id, NULL keys, regions without a branch or supplier."""
+    from pyspark.sql import functions as F
+
+    from quayside.plans.features import stockout_base, weekly_demand, weekly_production
+
+    def build(kind, rows):
+        return spark.createDataFrame(rows, kind)
+
+    faulty = {
+        "branches": build("branch_id int, region_id int", [(10, 1), (10, 1), (11, 1), (20, 2), (11, 2), (None, 2), (30, None)]),
+        "suppliers": build("supplier_id int, region_id int", [(7, 1), (7, 1), (8, 2), (9, 3), (5, None)]),
+        "customers": build("customer_id int, branch_id int", [(1, 10), (2, 11), (2, 11), (3, 20), (4, None), (5, 30), (6, 77)]),
+        "orders": build("order_id int, customer_id int, order_date string", [(i, i % 7 + 1, None if i % 5 == 0 else f"2024-01-{i % 28 + 1:02}") for i in range(60)]),
+        "order_items": build("order_id int, product_id int, quantity int", [(i % 61, None if i % 11 == 0 else i % 4, None if i % 13 == 0 else i) for i in range(240)]),
+        "daily_production": build(
+            "supplier_id int, product_id int, prod_date string, qty_produced int",
+            [(5 + i % 6, None if i % 7 == 0 else i % 5, None if i % 9 == 0 else f"2024-01-{i % 28 + 1:02}", None if i % 8 == 0 else i) for i in range(200)],
+        ),
+    }
+    for table, day in (("orders", "order_date"), ("daily_production", "prod_date")):
+        faulty[table] = faulty[table].withColumn(day, F.col(day).cast("date"))
+    keys = ["product_id", "branch_id", "week"]
+    amounts = [F.coalesce(c, F.lit(0)).alias(c) for c in ("produced", "demanded")]
+    expected = weekly_production(faulty).join(weekly_demand(faulty), keys, "full_outer").select(*keys, *amounts)
+    got = stockout_base(faulty).select(*expected.columns)
+    assert got.exceptAll(expected).isEmpty() and expected.exceptAll(got).isEmpty() and got.count() == expected.count() > 50
+
+
+def test_stockout_rows_are_not_moved_per_branch(spark, sf):
+    from quayside.plans.features import stockout_features
+    from quayside.sources.star import load_star
+
+    plan = stockout_features(load_star(spark, sf))._jdf.queryExecution().executedPlan().toString()
+    exchanges = [line.split("Exchange ")[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
+    # days, regions, orders, items, demand, and both by product, after which the series need no other
+    assert len(exchanges) == 6 and sum(e.startswith("hashpartitioning(product_id") and "REPARTITION_BY_COL" in e for e in exchanges) == 1
