@@ -58,3 +58,15 @@ def test_same_seed_same_forest(spark, tables):
     )
     # the first line names the model
     assert first.toDebugString.splitlines()[1:] == second.toDebugString.splitlines()[1:]
+
+
+def test_forest_rows_are_spread_over_tasks(spark, monkeypatch):
+    """What a task of a forest reads is bounded by bytes, not by the number of files; few rows stay in place."""
+    rows = spark.range(3000).selectExpr("cast(id % 7 as double) a", "cast(id % 2 as int) y").coalesce(1)
+    fitted = []
+    monkeypatch.setattr(train, "Pipeline", lambda stages: type("P", (), {"fit": lambda self, df: fitted.append(df)})())
+    train.fit_random_forest(rows, ["a"], "y", numTrees=300)
+    monkeypatch.setattr(train, "TASK_BYTES", 100_000)
+    train.fit_random_forest(rows, ["a"], "y", numTrees=300)
+    parts = [df.rdd.mapPartitions(lambda p: [sum(1 for _ in p)]).collect() for df in fitted]
+    assert parts[0] == [3000] and len(parts[1]) >= 39 and max(parts[1]) * 1332 < 2 * 100_000 and sum(parts[1]) == 3000
