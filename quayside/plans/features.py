@@ -129,7 +129,8 @@ def stockout_base(tables: Tables) -> DataFrame:
     A key with a NULL matches nothing. What follows per branch and product needs no exchange.
     """
     keys = ["branch_id", "product_id", "week"]
-    of_key = Window.partitionBy(*keys)
+    # rows of a series without a week stay in this order, demand first
+    of_key = Window.partitionBy(*keys).orderBy("made").rowsBetween(Window.unboundedPreceding, Window.unboundedFollowing)
     matches = F.col("branch_id").isNotNull() & F.col("product_id").isNotNull() & F.col("week").isNotNull()
     joined = (
         _by_product(tables)

@@ -211,4 +211,5 @@ def test_stockout_rows_are_not_moved_per_branch(spark, sf):
     plan = stockout_features(load_star(spark, sf))._jdf.queryExecution().executedPlan().toString()
     exchanges = [line.split("Exchange ")[1] for line in plan.splitlines() if "Exchange hashpartitioning" in line]
     # days, regions, orders, items, demand, and both by product, after which the series need no other
+    assert plan.count("+- Sort [branch_id") == 1  # for the join and the series
     assert len(exchanges) == 6 and sum(e.startswith("hashpartitioning(product_id") and "REPARTITION_BY_COL" in e for e in exchanges) == 1
