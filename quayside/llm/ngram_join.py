@@ -10,9 +10,12 @@ Bands are geometric with the smallest size ratio that a link allows, so linked s
 neighbouring ones; every class joins in its own band and in the next.
 
 Candidates are verified on the full sets. As a component is asked for, not all pairs of it, the members of
-a bucket are first verified against one of them, the one that meets the most others, twice over; only buckets that still hold
-more than one component are joined out, and only across components. A family of k near copies so costs about
-k verifications, and no link between components is lost.
+a bucket are first verified against one of them, its leader, the one that meets the most others, twice over. Buckets that still hold
+more than one component are refined: each member is reduced to what it adds to its leader's set and what it lacks of it, and two
+members that link, not both with the leader, have a part of that in common. So they meet again in a smaller bucket, named by the
+leader and one such shingle. What a family has in common drops out, and members that each differ from it in their own places do not
+meet again, however many they are. Only what is left when that does not help any more is joined out, and only across components. A family of k
+near copies so costs about k verifications, and no link between components is lost.
 
 Shingles and sets are compared by 64-bit hashes (two different shingles of a pair of documents of a thousand words
 collide with a probability below 1e-12, two sets among 10**9 with one of about 3 %).
@@ -32,7 +35,7 @@ import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window, WindowSpec
 from pyspark.sql import functions as F
 
 from quayside.llm import tokens
@@ -44,6 +47,8 @@ from quayside.session import materialize
 REMEMBERED = 1_000_000
 #: Times that the members of a bucket are verified against a leader before what is left is joined out.
 LEADER_ROUNDS = 2
+#: Most times that buckets are refined before what is left is joined out.
+REFINEMENTS = 3
 #: Bytes of text that are cut into words at a time.
 BATCH_BYTES = 1 << 20
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], "uint64")
@@ -245,17 +250,108 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return _kept(_joined(near, sets, "hashes"), linked)
 
 
-def _to_leaders(members: DataFrame) -> DataFrame:
-    """Each member of a bucket with the bucket's leader: the one that meets the most others in all its buckets.
+def _leaders(members: DataFrame) -> DataFrame:
+    """Each bucket's leader, the member that meets the most others in all its buckets, and how many (w).
 
     Of a text and copies that each change it in their own places, this is the text, with which they all link, and not
     a copy, with which the others may not link.
     """
     counted = members.groupBy("key").agg(F.count(F.lit(1)).alias("c"))
     weights = members.join(counted, "key").groupBy("v").agg(F.sum("c").alias("w"))
-    leaders = members.join(weights, "v").groupBy("key").agg(F.max(F.struct("w", "v"))["v"].alias("leader"))
-    pairs = members.join(leaders, "key").filter("v <> leader")
-    return pairs.select(F.least("v", "leader").alias("a"), F.greatest("v", "leader").alias("b")).distinct()
+    return members.join(weights, "v").groupBy("key").agg(F.max(F.struct("w", F.col("v").alias("leader"))).alias("l")).select("key", "l.*")
+
+
+def _to_leaders(members: DataFrame, leaders: DataFrame) -> DataFrame:
+    """v and leader: each member of a bucket with the bucket's leader."""
+    return members.join(leaders.select("key", "leader"), "key").filter("v <> leader").select("v", "leader").distinct()
+
+
+def _centres(members: DataFrame) -> DataFrame:
+    """A leader for each bucket from all the buckets of its members: a family has the same one in buckets that do not hold it."""
+    first = materialize(_leaders(members))
+    best = members.join(first, "key").groupBy("v").agg(F.max(F.struct("w", "leader")).alias("l"))
+    return members.join(best, "v").groupBy("key").agg(F.max("l").alias("l")).select("key", "l.*")
+
+
+def _pairs(members: DataFrame) -> int:
+    """Pairs that meet in buckets, a pair once per bucket."""
+    counted = members.groupBy("key").agg(F.count(F.lit(1)).cast("decimal(38,0)").alias("c"))
+    return int(counted.agg(F.sum(F.expr("c * (c - 1)"))).first()[0] or 0) // 2
+
+
+def delta(x: np.ndarray, leader: np.ndarray, percent: int) -> tuple[int, int, bool, np.ndarray, np.ndarray]:
+    """Shingles that ``x`` adds to its leader's set and that it lacks, whether the two link, and the first ones of each, in order.
+
+    Let x and y link. They have at least percent / 100 of their union in common, so x has at most size * (100 - percent) / 100
+    shingles that y lacks, and y at most size * (100 - percent) / percent that x lacks (size: of x). That many of the
+    added and of the lacking ones can come before the first that both add, or both lack, and no more need to be kept.
+    """
+    added, lacking = np.setdiff1d(x, leader, assume_unique=True), np.setdiff1d(leader, x, assume_unique=True)
+    both = len(x) - len(added)
+    near = 100 * both >= percent * (len(x) + len(leader) - both)
+    first, less = len(x) * (100 - percent) // 100 + 1, len(x) * (100 - percent) // percent + 1
+    return len(added), len(lacking), near, added[:first], lacking[:less]
+
+
+def _deltas(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+    """Stores v, leader, n (size of v) and the ``delta`` of each pair (v, leader)."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            x, y = ([np.frombuffer(z.as_py(), "uint64") for z in column] for column in batch.columns[2:])
+            found = [delta(a, b, percent) for a, b in zip(x, y)]
+            added, lacking, near, *firsts = zip(*found) if found else ((),) * 5
+            lists = [
+                pa.ListArray.from_arrays(
+                    pa.array(np.cumsum([0, *map(len, some)]), pa.int32()), pa.array(np.concatenate([np.empty(0, "uint64"), *some]).view("int64"))
+                )
+                for some in firsts
+            ]
+            numbers = [pa.array(values, pa.int64()) for values in (list(map(len, x)), added, lacking)]
+            names = ["v", "leader", "n", "added", "lacking", "near", "first_added", "first_lacking"]
+            yield pa.record_batch([*batch.columns[:2], *numbers, pa.array(near, pa.bool_()), *lists], names=names)
+
+    joined = _joined(pairs.select(F.col("v").alias("a"), F.col("leader").alias("b")), sets, "hashes")
+    schema = "v bigint, leader bigint, n bigint, added bigint, lacking bigint, near boolean, first_added array<bigint>, first_lacking array<bigint>"
+    return materialize(joined.mapInArrow(run, schema))
+
+
+def _sparing(deltas: DataFrame, percent: int) -> DataFrame:
+    """leader, added, lacking and near of the members x that may link with one y without adding a shingle that y adds.
+
+    Their distance, at most n * (100 - percent) / percent, is at least added(x) + added(y) + abs(lacking(x) - lacking(y)) then. Whether a leader has
+    such a y is found from the least added(y) - lacking(y) of those that lack no more, and the least sum of those that lack no less. Two that both link
+    with the leader are in one component as it is.
+    """
+    kind = ["leader", "added", "lacking", "near"]
+    kinds = deltas.select(*kind, F.floor(F.col("n") * (100 - percent) / percent).alias("most")).filter("added <= most").distinct()
+    less = Window.partitionBy("leader").orderBy("lacking").rangeBetween(Window.unboundedPreceding, Window.currentRow)
+    more = Window.partitionBy("leader").orderBy(F.desc("lacking")).rangeBetween(Window.unboundedPreceding, Window.currentRow)
+
+    def least(value: str, over: WindowSpec) -> Column:
+        return F.when(F.col("near"), F.min(F.when(~F.col("near"), F.expr(value))).over(over)).otherwise(F.min(F.expr(value)).over(over))
+
+    bounds = kinds.withColumn("low", least("added - lacking", less)).withColumn("high", least("added + lacking", more))
+    return bounds.filter("low <= most - added - lacking or high <= most - added + lacking").select(*kind)
+
+
+def _refined(deltas: DataFrame, roots: DataFrame, percent: int) -> DataFrame:
+    """Smaller buckets (key, v) in which all pairs of a leader's members meet that may link across components.
+
+    Two members that link and do not both link with the leader have an added or a lacking shingle in common: their distance is that of
+    their deltas, and the sizes of these add up to more than the distance that a link allows.
+    """
+    kind = ["leader", "added", "lacking", "near"]
+    spared = deltas.join(_sparing(deltas, percent), kind, "left_semi")
+    entries = None
+    for rows, column, side in ((deltas, "first_added", 0), (spared, "first_lacking", 1)):
+        some = rows.select("v", "leader", F.explode(column).alias("shingle"))
+        keyed = some.select("v", F.xxhash64("leader", "shingle", F.lit(side)).alias("key"))
+        entries = keyed if entries is None else entries.unionAll(keyed)
+    placed = _rooted(entries, roots)
+    bucket = Window.partitionBy("key")
+    mixed = placed.withColumns({"low": F.min("root").over(bucket), "high": F.max("root").over(bucket)}).filter("low <> high")
+    return mixed.select("key", "v").distinct()
 
 
 def _rooted(members: DataFrame, roots: DataFrame) -> DataFrame:
@@ -269,6 +365,11 @@ def _mixed_buckets(members: DataFrame, roots: DataFrame) -> DataFrame:
     return placed.join(mixed, "key", "left_semi").drop("root")
 
 
+def _with_links(roots: DataFrame, new: DataFrame) -> DataFrame:
+    """The components with more links (a, b)."""
+    return roots if new.isEmpty() else components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(new))
+
+
 def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, row_id, n_shingles, component_id and first_row (the row that stands for its component) for every row."""
     docs = stored(docs)
@@ -289,7 +390,8 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
 
     roots = links = tried = None
     for _ in range(LEADER_ROUNDS):
-        pairs = _to_leaders(members)
+        led = _to_leaders(members, _leaders(members))
+        pairs = led.select(F.least("v", "leader").alias("a"), F.greatest("v", "leader").alias("b")).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.unionAll(pairs)
         new = materialize(_verified(pairs, sets, percent))
@@ -297,15 +399,28 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         if roots is None or not new.isEmpty():
             roots = components(links)
         members = materialize(_mixed_buckets(members, roots))
+    meet = _pairs(members)
+    for _ in range(REFINEMENTS):
+        if not meet:
+            break
+        deltas = _deltas(_to_leaders(members, _centres(members)), sets, percent)
+        ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("v", "leader")]
+        near = deltas.filter("near").select("v", "leader").join(ends[0], "v", "left").join(ends[1], "leader", "left")
+        near = near.select(F.coalesce("v_root", "v").alias("a"), F.coalesce("leader_root", "leader").alias("b"))
+        roots = _with_links(roots, materialize(near.filter("a <> b")))
+        refined = materialize(_refined(deltas, roots, percent))
+        before, now = meet, _pairs(refined)
+        if now < before:
+            members, meet = refined, now
+        if 2 * now > before:
+            break
     rooted = _rooted(members, roots).join(classes.select("v", "n"), "v")
     x = rooted.select("key", F.col("v").alias("a"), F.col("n").alias("na"), F.col("root").alias("ra"))
     y = rooted.select("key", F.col("v").alias("b"), F.col("n").alias("nb"), F.col("root").alias("rb"))
     near = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near).select("a", "b").distinct()
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"))
-    new = materialize(_verified(rest, sets, percent))
-    if not new.isEmpty():
-        roots = components(roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(new))
+    roots = _with_links(roots, materialize(_verified(rest, sets, percent)))
     labelled = classes.join(roots, F.col("v") == F.col("node"), "left")
     labelled = materialize(labelled.select("v", "doc_id", "row_id", F.coalesce("root", "v").alias("root")))
     firsts = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("row_id").alias("first_row"))

@@ -172,6 +172,55 @@ def test_sketches_miss_no_link(percent):
                 assert ngram_join.hamming(ngram_join.parity(base), ngram_join.parity(other)) <= len(base) + len(other) - 2 * both
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_deltas_miss_no_link(percent):
+    r = np.random.default_rng(percent)
+
+    def changed(base, most):
+        gone, new = (int(x) for x in r.integers(0, max(1, int(len(base) * most)) + 1, 2))
+        return np.unique(np.concatenate((r.permutation(base)[gone:], r.integers(0, 2**64, new, dtype="uint64"))))
+
+    seen = Counter()
+    for size in [*range(2, 60), 100, 333]:
+        for _ in range(60):
+            leader = np.unique(r.integers(0, 2**64, size, dtype="uint64"))
+            x = changed(leader, r.choice([0.05, 0.2, 0.6]))
+            y = changed(x, (100 - percent) / 100) if len(x) else x
+            if not len(y):
+                continue
+            both, (ax, lx, nx, *fx), (ay, ly, ny, *fy) = len(np.intersect1d(x, y)), *(ngram_join.delta(z, leader, percent) for z in (x, y))
+            if 100 * both < percent * (len(x) + len(y) - both) or nx and ny:
+                continue
+            if np.intersect1d(fx[0], fy[0]).size:
+                seen["added"] += 1
+            else:
+                seen["lacking"] += 1
+                assert np.intersect1d(fx[1], fy[1]).size
+                assert all((ax + ay + abs(lx - ly)) * percent <= len(z) * (100 - percent) for z in (x, y))
+    assert seen["added"] > 100 and seen["lacking"] > 100
+
+
+@pytest.mark.parametrize("family", [60, 180])
+def test_near_family_that_does_not_link(spark, tmp_path, monkeypatch, family):
+    """Texts that differ from one in their own places, too much to link with it or with each other, but for one in ten that has a copy."""
+    r, tried = np.random.default_rng(family), []
+    texts = [" ".join(f"t{i}" for i in range(200))]
+    for i in range(family):
+        words = texts[0].split()
+        for k in r.choice(198, 5, replace=False):
+            words[k] = f"x{i}_{k}"
+        texts.append(" ".join(words))
+        if i % 10 == 0:
+            texts.append(" ".join([*words, "end"]))
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    verified = ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *more: (tried.append(pairs.count()), verified(pairs, *more))[1])
+    docs = spark.read.parquet(f"{tmp_path}/documents.parquet")
+    got = ngram_join.link(docs).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == Counter(brute.near([{"doc_id": i, "text": x} for i, x in enumerate(texts)], 3, 90))
+    assert sum(tried) < 6 * len(texts), tried
+
+
 def test_mix(spark, folder):
     docs = rows(spark, folder)
     sizes, targets = brute.mix_targets(docs)
