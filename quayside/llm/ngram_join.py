@@ -13,7 +13,7 @@ Candidates are verified on the full sets. As a component is asked for, not all p
 a bucket are first verified against one of them, its leader, the one that meets the most others, twice over. Buckets that still hold
 more than one component are refined: each member is reduced to what it adds to its leader's set and what it lacks of it, and two
 members that link, not both with the leader, have a part of that in common. So they meet again in a smaller bucket, named by the
-leader and one such shingle. What a family has in common drops out, and members that each differ from it in their own places do not
+leader and one such shingle, a rare one where it can be. What a family has in common drops out, and members that each differ from it in their own places do not
 meet again, however many they are. Only what is left when that does not help any more is joined out, and only across components. A family of k
 near copies so costs about k verifications, and no link between components is lost.
 
@@ -49,6 +49,8 @@ REMEMBERED = 1_000_000
 LEADER_ROUNDS = 2
 #: Most times that buckets are refined before what is left is joined out.
 REFINEMENTS = 3
+#: Most shingles that are known as frequent when those that name the smaller buckets are chosen.
+FREQUENT = 1 << 16
 #: Bytes of text that are cut into words at a time.
 BATCH_BYTES = 1 << 20
 _MIX = np.array([0x9E3779B97F4A7C15, 0xC2B2AE3D27D4EB4F, 0x165667B19E3779F9, 0xD6E8FEB86659FD93, 0xFF51AFD7ED558CCD], "uint64")
@@ -279,8 +281,40 @@ def _pairs(members: DataFrame) -> int:
     return int(counted.agg(F.sum(F.expr("c * (c - 1)"))).first()[0] or 0) // 2
 
 
-def delta(x: np.ndarray, leader: np.ndarray, percent: int) -> tuple[int, int, bool, np.ndarray, np.ndarray]:
-    """Shingles that ``x`` adds to its leader's set and that it lacks, whether the two link, and the first ones of each, in order.
+class Order:
+    """A total order of shingles: those not known as frequent by hash, then the frequent ones, the most frequent last."""
+
+    def __init__(self, frequent: np.ndarray):
+        """``frequent``: distinct shingles, the most frequent first."""
+        at = np.argsort(frequent)
+        self.shingles, self.rank = frequent[at], -at
+
+    def of(self, hashes: np.ndarray) -> np.ndarray:
+        """``hashes``, sorted by hash before, in this order."""
+        if not len(self.shingles):
+            return hashes
+        at = np.minimum(np.searchsorted(self.shingles, hashes), len(self.shingles) - 1)
+        rank = np.where(self.shingles[at] == hashes, self.rank[at], -len(self.shingles))
+        return hashes[np.argsort(rank, kind="stable")]
+
+
+def _order(sets: DataFrame) -> Order:
+    """The order that leaves out what many sets hold, if members' first shingles are taken. Any order gives the same links, so it need not be exact."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            sizes = pc.binary_length(batch.column(0)).to_numpy(zero_copy_only=False)
+            for at, rows in tokens.slices(sizes, 8 * BATCH_BYTES):
+                found, n = np.unique(np.frombuffer(b"".join(batch.column(0).slice(at, rows).to_pylist()), "uint64"), return_counts=True)
+                yield pa.record_batch([pa.array(found[n > 1].view("int64")), pa.array(n[n > 1].astype("int64"))], names=["shingle", "n"])
+
+    counted = sets.select("hashes").mapInArrow(run, "shingle bigint, n bigint").groupBy("shingle").agg(F.sum("n").alias("n"))
+    top = counted.orderBy(F.desc("n"), "shingle").limit(FREQUENT).select("shingle", "n").collect()
+    return Order(np.array([r["shingle"] for r in top], "int64").view("uint64"))
+
+
+def delta(x: np.ndarray, leader: np.ndarray, percent: int, order: Order) -> tuple[int, int, bool, np.ndarray, np.ndarray]:
+    """Shingles that ``x`` adds to its leader's set and that it lacks, whether the two link, and the first ones of each.
 
     Let x and y link. They have at least percent / 100 of their union in common, so x has at most size * (100 - percent) / 100
     shingles that y lacks, and y at most size * (100 - percent) / percent that x lacks (size: of x). That many of the
@@ -290,16 +324,16 @@ def delta(x: np.ndarray, leader: np.ndarray, percent: int) -> tuple[int, int, bo
     both = len(x) - len(added)
     near = 100 * both >= percent * (len(x) + len(leader) - both)
     first, less = len(x) * (100 - percent) // 100 + 1, len(x) * (100 - percent) // percent + 1
-    return len(added), len(lacking), near, added[:first], lacking[:less]
+    return len(added), len(lacking), near, order.of(added)[:first], order.of(lacking)[:less]
 
 
-def _deltas(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
+def _deltas(pairs: DataFrame, sets: DataFrame, percent: int, order: Order) -> DataFrame:
     """Stores v, leader, n (size of v) and the ``delta`` of each pair (v, leader)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
             x, y = ([np.frombuffer(z.as_py(), "uint64") for z in column] for column in batch.columns[2:])
-            found = [delta(a, b, percent) for a, b in zip(x, y)]
+            found = [delta(a, b, percent, order) for a, b in zip(x, y)]
             added, lacking, near, *firsts = zip(*found) if found else ((),) * 5
             lists = [
                 pa.ListArray.from_arrays(
@@ -400,10 +434,11 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
             roots = components(links)
         members = materialize(_mixed_buckets(members, roots))
     meet = _pairs(members)
+    order = _order(sets) if meet else Order(np.empty(0, "uint64"))
     for _ in range(REFINEMENTS):
         if not meet:
             break
-        deltas = _deltas(_to_leaders(members, _centres(members)), sets, percent)
+        deltas = _deltas(_to_leaders(members, _centres(members)), sets, percent, order)
         ends = [roots.select(F.col("node").alias(c), F.col("root").alias(f"{c}_root")) for c in ("v", "leader")]
         near = deltas.filter("near").select("v", "leader").join(ends[0], "v", "left").join(ends[1], "leader", "left")
         near = near.select(F.coalesce("v_root", "v").alias("a"), F.coalesce("leader_root", "leader").alias("b"))

@@ -188,7 +188,9 @@ def test_deltas_miss_no_link(percent):
             y = changed(x, (100 - percent) / 100) if len(x) else x
             if not len(y):
                 continue
-            both, (ax, lx, nx, *fx), (ay, ly, ny, *fy) = len(np.intersect1d(x, y)), *(ngram_join.delta(z, leader, percent) for z in (x, y))
+            order = ngram_join.Order(r.permutation(np.union1d(x, leader))[: r.integers(0, size)])
+            assert np.array_equal(np.sort(order.of(x)), x)
+            both, (ax, lx, nx, *fx), (ay, ly, ny, *fy) = len(np.intersect1d(x, y)), *(ngram_join.delta(z, leader, percent, order) for z in (x, y))
             if 100 * both < percent * (len(x) + len(y) - both) or nx and ny:
                 continue
             if np.intersect1d(fx[0], fy[0]).size:
@@ -200,6 +202,11 @@ def test_deltas_miss_no_link(percent):
     assert seen["added"] > 100 and seen["lacking"] > 100
 
 
+def test_order_puts_frequent_shingles_last():
+    frequent = np.array([9, 2, 5], "uint64")
+    assert ngram_join.Order(frequent).of(np.array([1, 2, 4, 5, 9], "uint64")).tolist() == [1, 4, 5, 2, 9]
+
+
 @pytest.mark.parametrize("family", [60, 180])
 def test_near_family_that_does_not_link(spark, tmp_path, monkeypatch, family):
     """Texts that differ from one in their own places, too much to link with it or with each other, but for one in ten that has a copy."""
