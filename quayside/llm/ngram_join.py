@@ -41,7 +41,7 @@ from pyspark.sql import functions as F
 from quayside.llm import tokens
 from quayside.llm.common import ROW, row_id, stored, with_row_id
 from quayside.llm.components import components
-from quayside.session import materialize
+from quayside.session import freed_shuffles, materialize, new_path, release
 
 #: Most sets that a task remembers to have met.
 REMEMBERED = 1_000_000
@@ -225,19 +225,37 @@ def _joined(pairs: DataFrame, sets: DataFrame, *columns: str) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", *(f"{c}_{x}" for x in "ab" for c in columns))
 
 
-def _kept(rows: DataFrame, test: Callable[..., bool]) -> DataFrame:
-    """The pairs whose columns pass."""
+Batches = Iterator[pa.RecordBatch]
+_PAIR = "a bigint, b bigint"
 
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+
+def _with_sets(pairs: DataFrame, sets: DataFrame, work: Callable[[Batches], Batches], schema: str) -> DataFrame:
+    """Stores what ``work`` makes of stored pairs with the hashes of both sets.
+
+    Pairs go in parts of at most about half as many as there are sets, one after the other, so that a shuffle never has
+    much more than the sets on disk, however many pairs there are.
+    """
+    spark, parts = pairs.sparkSession, max(1, math.ceil(2 * pairs.count() / max(1, sets.count())))
+    path = new_path(spark)
+    for i in range(parts):
+        some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else pairs
+        _joined(some, sets, "hashes").mapInArrow(work, schema).write.mode("append").parquet(path)
+    return spark.read.schema(schema).parquet(path)
+
+
+def _kept(test: Callable[..., bool]) -> Callable[[Batches], Batches]:
+    """Picks the pairs whose columns pass."""
+
+    def run(batches: Batches) -> Batches:
         for batch in batches:
             keep = [test(*(x.as_py() for x in row)) for row in zip(*batch.columns[2:])]
             yield pa.record_batch(batch.columns[:2], names=["a", "b"]).filter(pa.array(keep, pa.bool_()))
 
-    return rows.mapInArrow(run, "a bigint, b bigint")
+    return run
 
 
 def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
-    """The pairs (a, b) whose full sets link. Whole sets move only for pairs that their parity sketches leave open."""
+    """Stores the pairs (a, b) whose full sets link. Whole sets move only for pairs that their parity sketches leave open."""
 
     def close(n: int, x: bytes, m: int, y: bytes) -> bool:
         most = (100 - percent) * (n + m) // (100 + percent)
@@ -248,8 +266,8 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
         both = len(np.intersect1d(x, y, assume_unique=True))
         return 100 * both >= percent * (len(x) + len(y) - both)
 
-    near = materialize(_kept(_joined(pairs, sets, "n", "parity"), close))
-    return _kept(_joined(near, sets, "hashes"), linked)
+    near = materialize(_joined(pairs, sets, "n", "parity").mapInArrow(_kept(close), _PAIR))
+    return _with_sets(near, sets, _kept(linked), _PAIR)
 
 
 def _leaders(members: DataFrame) -> DataFrame:
@@ -345,9 +363,9 @@ def _deltas(pairs: DataFrame, sets: DataFrame, percent: int, order: Order) -> Da
             names = ["v", "leader", "n", "added", "lacking", "near", "first_added", "first_lacking"]
             yield pa.record_batch([*batch.columns[:2], *numbers, pa.array(near, pa.bool_()), *lists], names=names)
 
-    joined = _joined(pairs.select(F.col("v").alias("a"), F.col("leader").alias("b")), sets, "hashes")
+    stored_pairs = materialize(pairs.select(F.col("v").alias("a"), F.col("leader").alias("b")))
     schema = "v bigint, leader bigint, n bigint, added bigint, lacking bigint, near boolean, first_added array<bigint>, first_lacking array<bigint>"
-    return materialize(joined.mapInArrow(run, schema))
+    return _with_sets(stored_pairs, sets, run, schema)
 
 
 def _sparing(deltas: DataFrame, percent: int) -> DataFrame:
@@ -407,18 +425,36 @@ def _with_links(roots: DataFrame, new: DataFrame) -> DataFrame:
 def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     """doc_id, row_id, n_shingles, component_id and first_row (the row that stands for its component) for every row."""
     docs = stored(docs)
-    rows = sketch(docs, width, percent)
+    with freed_shuffles(docs.sparkSession):
+        rows, by_class = _by_class(docs, width, percent)
+    return rows.join(by_class, "v", "left").select(
+        "doc_id",
+        "row_id",
+        "n_shingles",
+        F.coalesce("component_id", "doc_id").alias("component_id"),
+        F.coalesce("first_row", "row_id").alias("first_row"),
+    )
+
+
+def _by_class(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, DataFrame]:
+    """Stores doc_id, row_id, n_shingles and v of every row, and component_id and first_row of every class v.
+
+    Keys, sets and deltas, each about as large as the texts, are deleted as soon as the step that reads them last is done.
+    """
+    sketches = sketch(docs, width, percent)
+    rows = materialize(sketches.drop("keys"))
     # one row per class, combined map-side: a hot class costs one row per task
     classes = materialize(
         rows.filter("v is not null")
         .groupBy("v")
         .agg(F.min("doc_id").alias("doc_id"), F.min("row_id").alias("row_id"), F.max("n_shingles").alias("n"))
     )
-    entries = rows.select("v", F.explode("keys").alias("key"))
+    entries = sketches.select("v", F.explode("keys").alias("key"))
     # a class has a large number of keys, so even one of a family that fills the table is a small share of the rows
     bucket = Window.partitionBy("key")
     shared = entries.withColumns({"low": F.min("v").over(bucket), "high": F.max("v").over(bucket)}).filter("low <> high")
     members = materialize(shared.select("key", "v").distinct())
+    release(sketches)
     wanted = classes.select("row_id", "v").join(members.select("v").distinct(), "v", "left_semi")
     sets = _full_sets(docs, wanted, width)
 
@@ -428,7 +464,7 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         pairs = led.select(F.least("v", "leader").alias("a"), F.greatest("v", "leader").alias("b")).distinct()
         pairs = materialize(pairs if tried is None else pairs.join(tried, ["a", "b"], "left_anti"))
         tried = pairs if tried is None else tried.unionAll(pairs)
-        new = materialize(_verified(pairs, sets, percent))
+        new = _verified(pairs, sets, percent)
         links = new if roots is None else roots.select(F.col("node").alias("a"), F.col("root").alias("b")).unionAll(new)
         if roots is None or not new.isEmpty():
             roots = components(links)
@@ -444,6 +480,7 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
         near = near.select(F.coalesce("v_root", "v").alias("a"), F.coalesce("leader_root", "leader").alias("b"))
         roots = _with_links(roots, materialize(near.filter("a <> b")))
         refined = materialize(_refined(deltas, roots, percent))
+        release(deltas)
         before, now = meet, _pairs(refined)
         if now < before:
             members, meet = refined, now
@@ -455,18 +492,12 @@ def link(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:
     near = (F.col("na") * 100 >= F.col("nb") * percent) & (F.col("nb") * 100 >= F.col("na") * percent)
     rest = x.join(y, "key").filter((F.col("a") < F.col("b")) & (F.col("ra") != F.col("rb")) & near).select("a", "b").distinct()
     rest = materialize(rest.join(tried, ["a", "b"], "left_anti"))
-    roots = _with_links(roots, materialize(_verified(rest, sets, percent)))
+    roots = _with_links(roots, _verified(rest, sets, percent))
+    release(sets)
     labelled = classes.join(roots, F.col("v") == F.col("node"), "left")
     labelled = materialize(labelled.select("v", "doc_id", "row_id", F.coalesce("root", "v").alias("root")))
     firsts = labelled.groupBy("root").agg(F.min("doc_id").alias("component_id"), F.min("row_id").alias("first_row"))
-    by_class = materialize(labelled.select("v", "root").join(firsts, "root").drop("root"))
-    return rows.drop("keys").join(by_class, "v", "left").select(
-        "doc_id",
-        "row_id",
-        "n_shingles",
-        F.coalesce("component_id", "doc_id").alias("component_id"),
-        F.coalesce("first_row", "row_id").alias("first_row"),
-    )
+    return rows, materialize(labelled.select("v", "root").join(firsts, "root").drop("root"))
 
 
 def keep_one_each(docs: DataFrame, width: int = 3, percent: int = 90) -> DataFrame:

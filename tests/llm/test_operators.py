@@ -18,7 +18,7 @@ import corpus_pipeline
 from quayside.llm import attention, exact, html_content, kdtree, license, lm, mixing, ngram_join, packing, quality, tokens
 from quayside.llm.html_training import labelled_pages
 from quayside.llm.queries import QUERIES
-from quayside.session import new_path
+from quayside.session import freed_shuffles, materialize, new_path, path_exists, recorded_paths, release
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -228,6 +228,61 @@ def test_near_family_that_does_not_link(spark, tmp_path, monkeypatch, family):
     assert sum(tried) < 6 * len(texts), tried
 
 
+def _kept_columns(spark, paths):
+    return [c for path in paths if path_exists(spark, path) for c in spark.read.parquet(path).columns]
+
+
+def _shuffle_files(spark):
+    files = spark._jvm.org.apache.spark.SparkEnv.get().blockManager().diskBlockManager().getAllFiles()
+    return {files.apply(i).getName() for i in range(files.size()) if files.apply(i).getName().startswith("shuffle_")}
+
+
+def _left(spark, before):
+    """Shuffle files that are there besides those before, when those that go have had time to."""
+    for _ in range(50):
+        if not (left := _shuffle_files(spark) - before):
+            break
+        time.sleep(0.2)
+    return left
+
+
+def test_freed_shuffles(spark):
+    def stored_sums():
+        return materialize(spark.range(1000).selectExpr("id % 7 AS k").groupBy("k").count())
+
+    before = _shuffle_files(spark)
+    with freed_shuffles(spark), freed_shuffles(spark):
+        rows_ = stored_sums()
+        assert spark.range(100).selectExpr("id % 7 AS k").distinct().count() == 7
+    assert not _left(spark, before) and rows_.count() == 7
+    assert spark.conf.get("spark.sql.classic.shuffleDependency.fileCleanup.enabled", None) in (None, "false")
+    with recorded_paths() as paths:
+        rows_ = stored_sums()
+    release(rows_)
+    release(spark.read.parquet(f"{SMALL}/documents.parquet"))  # not its own: stays
+    assert not path_exists(spark, paths[0]) and path_exists(spark, f"{SMALL}/documents.parquet")
+
+
+def test_near_leaves_no_large_intermediates(spark):
+    before = _shuffle_files(spark)
+    with recorded_paths() as paths:
+        got = ngram_join.link(spark.read.parquet(f"{SMALL}/documents.parquet"), 5, 80)
+    assert not {"keys", "hashes", "first_added"} & set(_kept_columns(spark, paths)) and not _left(spark, before)
+    assert got.count() == 200 == got.filter("component_id is not null").count()
+
+
+def test_near_pairs_go_in_parts(spark):
+    """Many pairs of few sets: each is compared once, and no part has many more pairs than half of the sets."""
+    hashes = {v: np.arange(v, 50, dtype="uint64") for v in range(8)}
+    sets = materialize(spark.createDataFrame([(v, bytearray(h.tobytes())) for v, h in hashes.items()], "v bigint, hashes binary"))
+    pairs = materialize(spark.createDataFrame([(a, b) for a in range(8) for b in range(a + 1, 8)], "a bigint, b bigint"))
+    keep = ngram_join._kept(lambda x, y: len(x) - len(y) == 16)
+    got = ngram_join._with_sets(pairs, sets, keep, "a bigint, b bigint")
+    assert sorted(map(tuple, got.collect())) == [(a, a + 2) for a in range(6)]
+    everything = ngram_join._with_sets(pairs, sets, ngram_join._kept(lambda x, y: True), "a bigint, b bigint")
+    assert sorted(map(tuple, everything.collect())) == sorted(map(tuple, pairs.collect()))
+
+
 def test_mix(spark, folder):
     docs = rows(spark, folder)
     sizes, targets = brute.mix_targets(docs)
