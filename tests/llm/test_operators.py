@@ -390,6 +390,26 @@ def test_lm_windows_cover_training_documents():
     assert sorted(targets[scored]) == sorted(expected)
 
 
+def test_lm_windows_are_stored_narrow():
+    sizes = np.array([1, 32, 33, 500, 64, 7])
+    tokens_, all_ = np.arange(2, 2 + sizes.sum()), np.arange(len(sizes))
+    starts = np.cumsum(sizes) - sizes
+    for places in (lm.training_places(sizes, all_), attention.windows(starts, sizes)):
+        whole = attention.laid_out(tokens_, starts, sizes, *places)
+        rows_ = attention.narrowed(*whole)
+        assert rows_.shape[1] == attention.LENGTH + 3
+        for x, y in zip(whole, attention.widened(rows_)):
+            assert np.array_equal(x, y)
+
+
+def test_lm_leaves_no_windows(spark):
+    before = _shuffle_files(spark)
+    with recorded_paths() as paths:
+        got = QUERIES["op7_lm_scores"](spark, SMALL)
+    assert "window" not in _kept_columns(spark, paths) and not _left(spark, before)
+    assert got.count() == 200
+
+
 def test_lm_trains_on_all_windows_of_a_large_corpus(spark):
     text = " ".join(f"w{i % 97}" for i in range(40_000))
     blocks = lm.encode(spark.createDataFrame([(0, text)], "doc_id bigint, text string"), public_tokenizers.path("byte_bpe_50k.json"))
