@@ -7,7 +7,8 @@ at most t; so at least one word is equal, and an equi-join on (band, place, word
 words make sure that not only empty ones are equal. What meets there is compared by parity sketches first: two bits for
 every shingle, each toggled by one hash value, so that their Hamming distance is a lower bound of the symmetric difference.
 Bands are geometric with the smallest size ratio that a link allows, so linked sets share a band or lie in
-neighbouring ones; every class joins in its own band and in the next.
+neighbouring ones; every class joins in its own band and in the next. The spare words that are not empty let a class stay
+out of as many of its largest buckets: the order of buckets by size is the same for all, so two linked classes keep one in common.
 
 Candidates are verified on the full sets. As a component is asked for, not all pairs of it, the members of
 a bucket are first verified against one of them, its leader, the one that meets the most others, twice over. Buckets that still hold
@@ -119,13 +120,14 @@ class Bands:
         return self._places[band]
 
 
-def sketch_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
-    """Keys (64-bit hashes of band, place and word) of a set's sketches.
+def sketches(hashes: np.ndarray, bands: Bands) -> tuple[np.ndarray, list[int]]:
+    """Keys (64-bit hashes of band, place and word) of a set's sketches, and how many it may leave out in even and in odd bands.
 
     With s spare words, two linked sets agree in at least s + 1 words. Empty words would fill large
-    buckets; a set with at most s of them leaves them out, since one of those it shares is not empty then.
+    buckets; a set with e of them, at most s, leaves them out, and of its others any s - e that come first in an order that
+    depends on the word alone: of the words in which two linked sets agree, both then keep the last. A key ends in the parity of its band.
     """
-    keys = []
+    keys, left = [], [0, 0]
     with np.errstate(over="ignore"):
         for band in bands.of(len(hashes)):
             places, spare = bands.places(band)
@@ -134,9 +136,16 @@ def sketch_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
             words = np.zeros(places, "uint64")
             np.bitwise_xor.at(words, place, hashes)
             key = _mixed(_mixed(words + _MIX[2]) + np.arange(places, dtype="uint64") * _MIX[0] + np.uint64(band) * _MIX[1])
+            key = key >> np.uint64(1) << np.uint64(1) | np.uint64(band % 2)
             empty = words == 0
+            left[band % 2] = max(0, spare - int(empty.sum()))
             keys.append(key if empty.sum() > spare else key[~empty])
-    return np.concatenate(keys)
+    return np.concatenate(keys), left
+
+
+def sketch_keys(hashes: np.ndarray, bands: Bands) -> np.ndarray:
+    """The keys of a set's sketches alone."""
+    return sketches(hashes, bands)[0]
 
 
 def parity(hashes: np.ndarray) -> np.ndarray:
@@ -162,9 +171,9 @@ def set_number(hashes: np.ndarray) -> int:
 
 
 def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
-    """Stores doc_id, row_id, n_shingles, v (digest; null for the empty set) and keys of every row.
+    """Stores doc_id, row_id, n_shingles, v (digest; null for the empty set), keys and ``left`` (those it may leave out) of every row.
 
-    A set that a task meets again gets no keys there, so a set of very many rows has them once per task.
+    A set that a task meets again gets neither there, so a set of very many rows has them once per task.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -173,9 +182,11 @@ def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
             for at, rows, sets in text_sets(batch.column(2), width):
                 piece = batch.slice(at, rows)
                 numbers = [set_number(s) if len(s) else None for s in sets]
-                keys = []
+                keys, left = [], []
                 for v, s in zip(numbers, sets):
-                    keys.append(np.empty(0, "int64") if v is None or v in met else sketch_keys(s, bands).view("int64"))
+                    some, spare = (np.empty(0, "uint64"), None) if v is None or v in met else sketches(s, bands)
+                    keys.append(some.view("int64"))
+                    left.append(spare)
                     if len(met) >= REMEMBERED:
                         met.clear()
                     met.add(v)
@@ -187,15 +198,32 @@ def sketch(docs: DataFrame, width: int, percent: int) -> DataFrame:
                         pa.array([len(s) for s in sets], pa.int64()),
                         pa.array(numbers, pa.int64()),
                         pa.ListArray.from_arrays(pa.array(ends), pa.array(np.concatenate(keys) if keys else np.empty(0, "int64"))),
+                        pa.array(left, pa.list_(pa.int64())),
                     ],
-                    names=["doc_id", "row_id", "n_shingles", "v", "keys"],
+                    names=["doc_id", "row_id", "n_shingles", "v", "keys", "left"],
                 )
 
     narrow = docs.select(F.col("doc_id").cast("bigint").alias("doc_id"), row_id().alias("row_id"), F.col("text").cast("string").alias("text"))
-    schema = "doc_id bigint, row_id string, n_shingles bigint, v bigint, keys array<bigint>"
+    schema = "doc_id bigint, row_id string, n_shingles bigint, v bigint, keys array<bigint>, left array<bigint>"
     return materialize(narrow.mapInArrow(run, schema))
 
 
+def _members(stored_sketches: DataFrame, classes: DataFrame) -> DataFrame:
+    """key and v: the classes that meet in each bucket, without the largest buckets that a class may leave out.
+
+    A word of few shingles that texts have from a common line makes a bucket that grows with the table, and says least.
+    """
+    entries = stored_sketches.select("v", F.explode("keys").alias("key"))
+    # a class has a large number of keys, so even one of a family that fills the table is a small share of the rows
+    bucket = Window.partitionBy("key")
+    sizes = {"low": F.min("v").over(bucket), "high": F.max("v").over(bucket), "c": F.count(F.lit(1)).over(bucket)}
+    shared = entries.withColumns(sizes).filter("low <> high").select("v", "key", "c", F.expr("key & 1").alias("odd"))
+    # a class may stand in a bucket once per task that met it
+    order = Window.partitionBy("v", "odd").orderBy(F.desc("c"), "key")
+    ranked = shared.join(classes.select("v", "left"), "v").withColumn("rank", F.dense_rank().over(order))
+    return ranked.filter(F.col("rank") > F.get("left", F.col("odd").cast("int"))).select("v", "odd", "key").distinct().select("key", "v")
+
+
 def _full_sets(docs: DataFrame, wanted: DataFrame, width: int) -> DataFrame:
     """Stores v, size, parity sketch and sorted hashes (as bytes) for the rows that stand for the wanted classes."""
 
@@ -237,6 +265,8 @@ def _with_sets(pairs: DataFrame, sets: DataFrame, work: Callable[[Batches], Batc
     """
     spark, parts = pairs.sparkSession, max(1, math.ceil(2 * pairs.count() / max(1, sets.count())))
     path = new_path(spark)
+    ends = pairs.select(F.col("a").alias("v")).unionAll(pairs.select(F.col("b").alias("v")))
+    sets = sets.join(ends, "v", "left_semi")
     for i in range(parts):
         some = pairs.filter(F.pmod(F.xxhash64("a", "b"), F.lit(parts)) == i) if parts > 1 else pairs
         _joined(some, sets, "hashes").mapInArrow(work, schema).write.mode("append").parquet(path)
@@ -441,20 +471,16 @@ def _by_class(docs: DataFrame, width: int, percent: int) -> tuple[DataFrame, Dat
 
     Keys, sets and deltas, each about as large as the texts, are deleted as soon as the step that reads them last is done.
     """
-    sketches = sketch(docs, width, percent)
-    rows = materialize(sketches.drop("keys"))
+    stored_sketches = sketch(docs, width, percent)
+    rows = materialize(stored_sketches.drop("keys"))
     # one row per class, combined map-side: a hot class costs one row per task
     classes = materialize(
         rows.filter("v is not null")
         .groupBy("v")
-        .agg(F.min("doc_id").alias("doc_id"), F.min("row_id").alias("row_id"), F.max("n_shingles").alias("n"))
+        .agg(F.min("doc_id").alias("doc_id"), F.min("row_id").alias("row_id"), F.max("n_shingles").alias("n"), F.max("left").alias("left"))
     )
-    entries = sketches.select("v", F.explode("keys").alias("key"))
-    # a class has a large number of keys, so even one of a family that fills the table is a small share of the rows
-    bucket = Window.partitionBy("key")
-    shared = entries.withColumns({"low": F.min("v").over(bucket), "high": F.max("v").over(bucket)}).filter("low <> high")
-    members = materialize(shared.select("key", "v").distinct())
-    release(sketches)
+    members = materialize(_members(stored_sketches, classes))
+    release(stored_sketches)
     wanted = classes.select("row_id", "v").join(members.select("v").distinct(), "v", "left_semi")
     sets = _full_sets(docs, wanted, width)
 

@@ -172,6 +172,45 @@ def test_sketches_miss_no_link(percent):
                 assert ngram_join.hamming(ngram_join.parity(base), ngram_join.parity(other)) <= len(base) + len(other) - 2 * both
 
 
+@pytest.mark.parametrize("percent", [80, 90])
+def test_sketches_without_some_keys_miss_no_link(percent):
+    """What a set may leave out, by an order of the keys alone, is never all that it has in common with one that links."""
+    r = np.random.default_rng(percent)
+    bands, left_out = ngram_join.Bands(percent), 0
+
+    def kept(hashes):
+        keys, left = ngram_join.sketches(hashes, bands)
+        assert np.array_equal(keys, ngram_join.sketch_keys(hashes, bands))
+        by_parity = [np.sort(keys[keys % 2 == odd]) for odd in (0, 1)]
+        return np.concatenate([some[n:] for some, n in zip(by_parity, left)]), sum(left)
+
+    for size in [*range(1, 60), 100, 333, 2000]:
+        base = np.unique(r.integers(0, 2**64, size, dtype="uint64"))
+        for _ in range(20):
+            most = size * (100 - percent) // 100
+            other = np.unique(np.concatenate((r.permutation(base)[int(r.integers(0, most + 1)) :], r.integers(0, 2**64, int(r.integers(0, most + 1)), dtype="uint64"))))
+            both = len(np.intersect1d(base, other))
+            if 100 * both >= percent * (len(base) + len(other) - both):
+                (x, n), (y, _) = kept(base), kept(other)
+                assert np.intersect1d(x, y).size
+                left_out += n
+    assert left_out > 50
+
+
+def test_texts_with_a_common_line_hardly_meet(spark, tmp_path, monkeypatch):
+    """A line in every text makes words of few shingles, each of which alone would bring very many texts together."""
+    r, tried = np.random.default_rng(8), []
+    line = " ".join(f"c{i}" for i in range(20))
+    texts = [f"{line} " + " ".join(f"w{w}" for w in r.integers(0, 5000, 180 + i % 40)) for i in range(400)]
+    texts += [f"{x} end" for x in texts[::10]]
+    spark.createDataFrame(list(enumerate(texts)), "doc_id bigint, text string").write.parquet(f"{tmp_path}/documents.parquet")
+    verified = ngram_join._verified
+    monkeypatch.setattr(ngram_join, "_verified", lambda pairs, *more: (tried.append(pairs.count()), verified(pairs, *more))[1])
+    got = ngram_join.link(spark.read.parquet(f"{tmp_path}/documents.parquet"), 5, 80).select("doc_id", "n_shingles", "component_id").collect()
+    assert Counter(map(tuple, got)) == Counter(brute.near([{"doc_id": i, "text": x} for i, x in enumerate(texts)], 5, 80))
+    assert sum(tried) < 200, tried
+
+
 @pytest.mark.parametrize("percent", [80, 90])
 def test_deltas_miss_no_link(percent):
     r = np.random.default_rng(percent)
