@@ -457,6 +457,33 @@ def test_lm_trains_on_all_windows_of_a_large_corpus(spark):
     assert lm._training_windows(blocks, slots).count() == -(-counts // attention.LENGTH) and lm.ROUNDS == 3
 
 
+def test_tokenizer_gets_few_strings_at_a_time():
+    class Counting:
+        def encode_batch_fast(self, strings, add_special_tokens):
+            sizes.append(len(strings))
+            return inner.encode_batch_fast(strings, add_special_tokens=add_special_tokens)
+
+    sizes, ids_ = [], tokens.Ids(public_tokenizers.path("byte_bpe_50k.json"))
+    inner, ids_.tokenizer = ids_.tokenizer, Counting()
+    words = [f" w{i}" for i in range(20_000)]
+    assert ids_.of(words) == ids_.of(words)[:] and sum(sizes) == len(words) and max(sizes) <= 8192
+    assert ids_[" w19999"] == np.array(inner.encode(" w19999", add_special_tokens=False).ids, "<u4").tobytes()
+
+
+def test_lm_blocks_are_read_in_pieces(monkeypatch):
+    """Pieces are whole documents, hold what the block holds, and only a long document makes a long piece."""
+    texts = ["", None, "the cat " * 3, "a", "Word " * 200, "the cat sat", "", "b c d"] * 5
+    row = lm._block(0, pa.array(range(len(texts))), pa.array(texts), public_tokenizers.path("byte_bpe_50k.json"))
+    row |= {"ids": row["ids"].to_pylist(), "held": row["held"].tolist(), "lengths": row["lengths"].tolist()}
+    (whole,) = lm._pieces(row)
+    monkeypatch.setattr(lm, "PIECE", 20)
+    parts = list(lm._pieces(row))
+    assert len(parts) > 5 and max(len(x["codes"]) for x in parts) < 20 + 201
+    for name, values in whole.items():
+        assert np.array_equal(values, np.concatenate([x[name] for x in parts]))
+    assert whole["ids"] == list(range(len(texts))) and whole["sizes"].sum() == len(whole["subwords"])
+
+
 def test_quality(spark, folder):
     columns = ["doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed"]
     same(spark, "op8_quality_rules", folder, columns, brute.quality_base(rows(spark, folder)))
