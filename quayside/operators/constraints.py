@@ -8,6 +8,7 @@ from functools import reduce
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from quayside.operators.joins import lookup
 from quayside.schema import TABLES, Table, Tables
 
 
@@ -27,7 +28,7 @@ def orphans(child: DataFrame, column: str, parent: DataFrame, parent_key: str) -
     is still one row of the join.
     """
     values = child.groupBy(F.col(column).alias("value")).agg(F.count(F.lit(1)).alias("rows"))
-    return values.join(parent.select(F.col(parent_key).alias("value")), "value", "left_anti")
+    return values.join(lookup(parent.select(F.col(parent_key).alias("value")), growing=True), "value", "left_anti")
 
 
 def _not_checkable(some: DataFrame, kind: str, table: str, rule: str) -> DataFrame:

@@ -56,4 +56,4 @@ def customer_places(tables: Tables) -> DataFrame:
     branches = tables["branches"].select("branch_id", "branch_name", "region_id")
     regions = tables["regions"].select("region_id", "region_name")
     customers = tables["customers"].select("customer_id", "branch_id")
-    return lookup(customers.join(branches, "branch_id").join(regions, "region_id"), sized_by=customers)
+    return lookup(customers.join(branches, "branch_id").join(regions, "region_id"), sized_by=customers, growing=True)

@@ -92,7 +92,7 @@ def weekly_production(tables: Tables) -> DataFrame:
 def weekly_demand(tables: Tables) -> DataFrame:
     """Units ordered per product, branch and week."""
     orders = tables["orders"].select("order_id", "customer_id", week_start(F.col("order_date")).alias("week"))
-    placed = orders.join(lookup(tables["customers"].select("customer_id", "branch_id")), "customer_id")
+    placed = orders.join(lookup(tables["customers"].select("customer_id", "branch_id"), growing=True), "customer_id")
     items = tables["order_items"].select("order_id", "product_id", "quantity")
     return (
         fact_join(items, placed, "order_id")

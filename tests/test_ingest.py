@@ -4,8 +4,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from quayside.ml import runs, train
+from quayside.operators import joins
+from quayside.operators.constraints import orphans
 from quayside.operators.keys import with_file_order_key
 from quayside.plans import jobs, layout, models, quality
+from quayside.plans.common import customer_places
 from quayside.sources.csv_load import ConstraintError, load_table, load_tables, read_csv
 from quayside.sources.star import load_star
 
@@ -194,3 +197,19 @@ def test_layout(spark):
     assert "PartitionFilters: [isnotnull(order_ym" in monthly._jdf.queryExecution().executedPlan().toString()
     expected = tables["orders"].filter("date_format(order_date, 'yyyy-MM') = '1998-03'").join(tables["order_items"], "order_id")
     assert monthly.count() == expected.count() > 0
+
+
+def test_growing_dimensions_are_broadcast_by_what_they_take_there(spark, sf, monkeypatch):
+    tables = load_star(spark, sf)
+    customers = tables["customers"].select("customer_id", "branch_id")
+    size = int(str(customers._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
+
+    def hints(df):
+        plan = df._jdf.queryExecution().analyzed().toString()
+        return "strategy=broadcast" in plan, "strategy=merge" in plan
+
+    plans = [lambda: customer_places(tables), lambda: orphans(tables["orders"], "customer_id", customers, "customer_id")]
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", 2 * size)  # fits as a file, not as rows
+    assert [hints(plan()) for plan in plans] == [(False, True)] * 2
+    monkeypatch.setattr(joins, "BROADCAST_BYTES", joins.GROWING * size)
+    assert [hints(plan()) for plan in plans] == [(True, False)] * 2
